@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from factloom.llm import chat_format, exact_dedup
+from factloom.llm import chat_format, decontaminate, exact_dedup, packing, secrets
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3,
+    "op4_secret_scan": secrets.op4,
+    "op7_decontamination": decontaminate.op7,
+    "op8_packing": packing.op8,
     "op9_chat_formatting": chat_format.op9,
 }
 
