@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from factloom.llm import chat_format, decontaminate, exact_dedup, packing, secrets
+from factloom.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, packing, quality, secrets
 
 QUERIES = {
+    "op2_language_id": language_id.op2,
     "op3_exact_dedup": exact_dedup.op3,
     "op4_secret_scan": secrets.op4,
+    "op5_quality_classifier": quality.op5,
+    "op6_lm_scoring": lm_score.op6,
     "op7_decontamination": decontaminate.op7,
     "op8_packing": packing.op8,
     "op9_chat_formatting": chat_format.op9,
+    "op10_html_extraction": html_extract.op10,
 }
 
 ORACLES = {
