@@ -15,12 +15,12 @@ Q = 8
 #: A passage of an item is WINDOW bytes, a shorter item one passage; passages overlap by half.
 WINDOW = 160
 #: Edits allowed in a passage, as a share of its length.
-ERROR_RATE = 0.08
+ERROR_RATE = 0.06
 #: Shorter passages than this are not searched: nothing tells them from ordinary speech.
 LEAST = 40
 
 _GAPS = re.compile(r"[\W_]+")
-_Q_BITS = 18
+_Q_BITS = 21
 
 
 def normalise(text: str) -> str:
@@ -77,19 +77,29 @@ class Index:
         self.bitmap[_slot(self.grams)] = True
         self.needed = np.array([p.needed for p in self.passages], np.int64)
         self.span = max((len(p.data) + p.edits for p in self.passages), default=0)
-        self.least = min((p.needed for p in self.passages), default=1)
+        # Passages of like length: the longest stretch that one can cover, and the fewest q-grams shared.
+        classes: dict[int, tuple[int, int]] = {}
+        for p in self.passages:
+            span, needed = classes.get(len(p.data) // 8, (0, 1 << 30))
+            classes[len(p.data) // 8] = (max(span, len(p.data) + p.edits), min(needed, p.needed))
+        self.classes = list(classes.values())
 
     def dense(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """Stretches that can hold a match: those where some `span` positions have `least` q-grams of the index."""
+        """Stretches that can hold a match: those where as many q-grams of the index stand together as some passage needs."""
         grams = _grams(data)
         hits = self.bitmap[_slot(grams)] if len(grams) else np.zeros(0, bool)
         total = np.concatenate([[0], np.cumsum(hits, dtype=np.int64)])
         at = np.flatnonzero(hits)
-        at = at[total[np.minimum(at + self.span, len(hits))] - total[at] >= self.least]
+        so_far = np.arange(len(at))
+        marks = np.zeros(len(at), bool)
+        for span, needed in self.classes:
+            marks |= total[np.minimum(at + span, len(hits))] - so_far >= needed
+        at = at[marks]
         if not len(at):
             return []
         breaks = np.flatnonzero(np.diff(at) > self.span) + 1
-        return [(int(g[0]), min(int(g[-1]) + self.span + Q, len(data))) for g in np.split(at, breaks)]
+        firsts, lasts = at[np.concatenate([[0], breaks])], at[np.concatenate([breaks - 1, [len(at) - 1]])]
+        return [(int(a), min(int(b) + self.span + Q, len(data))) for a, b in zip(firsts, lasts, strict=True)]
 
     def matches(self, data: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item, passage start, start, end, edits) of the best match of each passage found in a normalised text."""
