@@ -1,10 +1,61 @@
-"""Corpus cleaning in stages; filled in as the operators are built."""
+"""Corpus cleaning in stages: language ID, exact dedup, near-dedup, benchmark decontamination, packing.
 
-STAGES = []
+Every stage reads all rows that its predecessor kept, through Parquet, and each
+but the last returns the columns of documents. Null texts have no language and
+end at the first stage; an empty table passes through all of them.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factloom.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
+from factloom.llm.spread import cut
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with confidence; the model learns from the same documents as op2."""
+    return language_id.keep_identified(docs, language_id.fit(docs, ~language_id.held_out()))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copy with the smallest id of each text."""
+    return exact_dedup.drop_exact(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group linked by a similarity of 0.8 on five-word shingles."""
+    kept = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi")
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, packed into sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("packing", pack_sequences),
+]
+
+#: SQL cannot express language ID, near copies at scale, alignment or packing.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = cut(docs)
     return docs

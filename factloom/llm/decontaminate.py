@@ -206,6 +206,22 @@ def find_benchmark(docs: DataFrame, items: list[tuple[int, str]], window: int =
     return docs.select(id_col, text_col).mapInArrow(search, f"{id_col} {kind}, matches {MATCH}")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, error_rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that hold no passage of the benchmark; null and empty texts stay."""
+    at = docs.columns.index(text_col)
+    for block in from_table(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, window, error_rate))
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                clean = [not index.matches(np.frombuffer(normalise(x.as_py() or "").encode(), np.uint8)) for x in batch.column(at)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
+
+
 #: Items beyond this many bytes of text are searched in blocks of so many.
 BLOCK_BYTES = 16 << 20
 

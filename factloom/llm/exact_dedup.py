@@ -55,6 +55,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, with all its columns, of each group of equal texts: that with the smallest id.
+
+    Groups are combined before the shuffle, so a group of any size reaches a
+    task as one row from each task that read it. As in exact_dedup, a group
+    whose least and greatest texts differ is formed again on the texts. Null
+    counts as empty; of rows with equal ids any one stays; a null id comes last.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.unhex(F.md5(text)).alias("_key"), text.alias("_text"), F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i")).alias("_order"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    first = F.min_by("_row", "_order").alias("_row")
+    groups = cut(rows.groupBy("_key").agg(first, (F.min("_text") != F.max("_text")).alias("_mixed")))
+    out = groups.where("not _mixed").select("_row.*")
+    mixed = groups.where("_mixed").select("_key")
+    if mixed.limit(1).count():
+        out = out.union(rows.join(mixed, "_key", "left_semi").groupBy("_text").agg(first).select("_row.*"))
+    return out
+
+
 def op3(spark, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), stay="max")
 

@@ -120,6 +120,20 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(*(f.name for f in kept), F.col(text_col).alias("_text")).mapInArrow(predict, f"{form}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.4, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language is known with a score of `least` or more; und never is."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            said = [model.predict(x.as_py()) for x in batch.column(at)]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in said], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.col(key).cast("string")) % 4 == 2
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from factloom.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, packing, quality, secrets
+from factloom.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, quality, secrets
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1,
     "op2_language_id": language_id.op2,
     "op3_exact_dedup": exact_dedup.op3,
     "op4_secret_scan": secrets.op4,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near_dedup": near_dedup.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
 }

@@ -75,25 +75,24 @@ def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return dealt.join(spread, [key, "_salt"], how).drop("_salt")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable from each id over links (a, b).
+def component_labels(links: DataFrame) -> DataFrame:
+    """(id, label) for every id in the links (a, b): the smallest id reachable from it.
 
     Every round takes the least label among neighbours, then follows labels to
     their own labels, so long chains shorten by halves. Rounds go through the
-    shared folder; nothing is collected but the count of changed labels.
+    shared folder; nothing is collected but whether a label changed.
     """
     both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    linked = both.groupBy("a").agg(F.min("b").alias("m"))
-    labels = cut(linked.select(F.col("a").alias("id"), F.least("a", "m").alias("label")))
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
     while True:
-        seen = both.join(labels.withColumnRenamed("id", "a"), "a").groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near"))
+        seen = cut(both.join(labels.withColumnRenamed("id", "a"), "a").groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near")))
         step = cut(labels.join(seen, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("next"))
         new = cut(step.join(jump, "label").select("id", F.least("label", "next").alias("label"), "old"))
         changed = new.where("label <> old").limit(1).count()
-        drop(step, labels)
+        drop(seen, step, labels)
         labels = new
         if not changed:
             break
     drop(both)
-    return nodes.join(labels.select("id", "label"), "id", "left").select("id", F.coalesce("label", "id").alias("component"))
+    return labels.select("id", "label")
