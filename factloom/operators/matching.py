@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import notation
+from factloom.operators.shared import fixed
 
 THRESHOLD = 0.85
 _DELETION = re.compile(r"^C?\.?(\d+)(?:_(\d+))?DEL([ACGT]{2,})$")
@@ -74,31 +75,55 @@ def codon_bridge(a: str, b: str) -> bool:
     return False
 
 
+class _Pool:
+    """The free rows of a paper, indexed by spelling and by the numbers in their spellings."""
+
+    def __init__(self, found: pd.DataFrame):
+        self.rows = {r.found_id: (r.raw, sorted(r.forms)) for r in found.sort_values("found_id").itertuples()}
+        self.by_form: dict[str, list] = {}
+        self.by_number: dict[int | None, list] = {}
+        for k, (raw, forms) in self.rows.items():
+            for f in forms:
+                self.by_form.setdefault(f, []).append(k)
+            for n in {int(x) for f in (raw, *forms) for x in re.findall(r"\d+", f)} or {None}:
+                self.by_number.setdefault(n, []).append(k)
+
+    def sharing(self, texts: list[str]) -> list:
+        """Free rows with a number of the texts, or with none; all of them if the texts have none."""
+        numbers = {int(x) for t in texts for x in re.findall(r"\d+", t)}
+        if not numbers:
+            return list(self.rows)
+        hits = {k for n in (*numbers, None) for k in self.by_number.get(n, ()) if k in self.rows}
+        return [k for k in self.rows if k in hits]
+
+
 def _assign(gold: pd.DataFrame, found: pd.DataFrame, threshold: float) -> list[tuple]:
-    free = {r.found_id: (r.raw, set(r.forms)) for r in found.sort_values("found_id").itertuples()}
-    out = []
+    pool, out = _Pool(found), []
     for g in gold.sort_values("gold_id").itertuples():
-        forms = set(g.forms)
-        hit, kind, score = next((k for k, (_, f) in free.items() if f & forms), None), "form", 1.0
-        if hit is None:
-            fits = [k for k, (raw, _) in free.items() if end_point(g.raw, raw)]
+        forms = sorted(g.forms)
+        same = [k for f in forms for k in pool.by_form.get(f, ()) if k in pool.rows]
+        hit, kind, score = min(same, default=None), "form", 1.0
+        if hit is None and _span(g.raw):
+            fits = [k for k, (raw, _) in pool.rows.items() if end_point(g.raw, raw)]
             hit, kind = (fits[0] if len(fits) == 1 else None), "deletion_span"
         if hit is None:
-            fits = [k for k, (raw, _) in free.items() if codon_bridge(g.raw, raw)]
+            coding = g.raw.lower().startswith("c.")
+            fits = [k for k, (raw, _) in pool.rows.items() if coding != raw.lower().startswith("c.") and codon_bridge(g.raw, raw)]
             hit, kind = (fits[0] if fits and (len(fits) == 1 or not _CODING_SUB.match(g.raw)) else None), "codon_bridge"
         if hit is None:
             best = 0.0
-            for k, (_, f) in free.items():
-                for q in sorted(forms):
-                    for c in sorted(f):
-                        if numbers_agree(q, c) and (s := similarity(q, c)) > best:
+            for k in pool.sharing(forms):
+                for q in forms:
+                    for c in pool.rows[k][1]:
+                        most = 2 * min(len(q), len(c)) / (len(q) + len(c))  # no alignment can do better
+                        if most > best and most >= threshold and numbers_agree(q, c) and (s := similarity(q, c)) > best:
                             best, hit = s, k
             kind, score = "fuzzy", best
             if best < threshold:
                 hit = None
         if hit is not None:
             out.append((g.gold_id, hit, kind, score))
-            del free[hit]
+            del pool.rows[hit]
     return out
 
 
@@ -109,8 +134,10 @@ def match(gold: DataFrame, found: DataFrame, paper: str = "paper", variant: str
     greedy passes, and no two rows of one side share paper and match key.
     """
     key = notation.match_key(F.col(variant))
-    g = gold.select("gold_id", paper, F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
-    d = found.select("found_id", paper, F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
+    g = gold.select("gold_id", F.col(paper).alias(paper), F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
+    g = fixed(g)  # spellings are costly to make and are read several times
+    d = found.select("found_id", F.col(paper).alias(paper), F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
+    d = fixed(d)
     exact = g.join(d.select("found_id", paper, "key"), [paper, "key"]).groupBy(paper, "key").agg(F.min("gold_id").alias("gold_id"), F.min("found_id").alias("found_id")).select("gold_id", "found_id", F.lit("exact").alias("match_type"), F.lit(1.0).alias("score"))
     g_left, d_left = g.join(exact, "gold_id", "left_anti"), d.join(exact, "found_id", "left_anti")
 
@@ -119,7 +146,7 @@ def match(gold: DataFrame, found: DataFrame, paper: str = "paper", variant: str
 
     schema = f"gold_id {dict(gold.dtypes)['gold_id']}, found_id {dict(found.dtypes)['found_id']}, match_type string, score double"
     rest = g_left.groupBy(paper).cogroup(d_left.groupBy(paper)).applyInPandas(per_paper, schema)
-    matched = exact.unionByName(rest)
+    matched = fixed(exact.unionByName(rest))
     none = lambda rows, own, other, kind: rows.join(matched.where(F.col(own).isNotNull()), own, "left_anti").select(own, F.lit(None).cast(kind).alias(other), F.lit("none").alias("match_type"), F.lit(None).cast("double").alias("score"))
     return matched.unionByName(none(g, "gold_id", "found_id", dict(found.dtypes)["found_id"])).unionByName(none(d, "found_id", "gold_id", dict(gold.dtypes)["gold_id"]))
 
