@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from factloom.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
 from factloom.llm.spread import cut
+from factloom.session import ship
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence; the model learns from the same documents as op2."""
+    ship(spark)
     return language_id.keep_identified(docs, language_id.fit(docs, ~language_id.held_out()))
 
 
