@@ -7,9 +7,11 @@ tokens; those that share fewer than MATCHES are no candidates. For similarity
 
 Prefix merging: tokens stand in one global order, rarest first. Two signatures
 that share MATCHES tokens share one of their first SIZE - MATCHES + 1, so only
-these are posted. Skip merging: documents with equal sets are one; a token that
-many documents post first links them to a few pivots, and its other pairs are
-looked at only between documents that are not connected by then.
+these are posted. Skip merging: documents with equal sets are one; the documents
+of a token are first compared with one pivot, that of the commonest tokens, which
+in a family of copies is the one nearest to all. Only what is not connected by
+then is compared further, and every component proposes its best pairs first, more
+of them each round, so a pair is not looked at once its ends are connected.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ from factloom.llm.spread import component_labels, cut, drop, skewed_join
 SIZE = 64
 MATCHES = 35
 PREFIX = SIZE - MATCHES + 1
-#: A token with more documents than this is joined through pivots first.
-SMALL = 16
-PIVOTS = 4
+#: Pairs that a component proposes for a token in each round after the pivots; the last round has no limit.
+ROUNDS = (4, 32, 256, 1 << 62)
 #: Documents of a token are compared in blocks of so many.
 BLOCK = 2048
+#: Rows of small tokens that a task compares at a time, about.
+TASK_ROWS = 20_000
 SLOT_BITS = 18
 FILTER_BITS = 23
 
@@ -88,92 +91,120 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], names=["slot", "n"])
 
 
-_PAIR, _BIG = 0, 1
-
-
-def _out(kind: int, x, y) -> pa.RecordBatch:
-    x, y = np.asarray(x, np.int64), np.asarray(y, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names=["kind", "x", "y"])
-
-
-def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From postings sorted by token: all pairs of a token with few documents; the postings of the others go on as they are."""
-    token, few, big = None, [], False
-    pairs: list[tuple[int, int]] = []
-    on: list[tuple[int, int]] = []
-
-    def close() -> None:
-        if not big:
-            pairs.extend((few[i], few[j]) for j in range(len(few)) for i in range(j))
-
-    for batch in batches:
-        tokens, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        # A token that stands alone in a batch, not at its ends, has one document.
-        same = np.zeros(len(tokens), bool)
-        same[1:] = tokens[1:] == tokens[:-1]
-        near = same.copy()
-        near[:-1] |= same[1:]
-        near[[0, -1]] = True
-        for t, i in zip(tokens[near].tolist(), ids[near].tolist(), strict=True):
-            if t != token:
-                close()
-                token, few, big = t, [i], False
-            elif big:
-                on.append((t, i))
-            elif i not in few:
-                few.append(i)
-                if len(few) > SMALL:
-                    on.extend((t, f) for f in few)
-                    few, big = [], True
-        for kind, rows in ((_PAIR, pairs), (_BIG, on)):
-            if rows:
-                yield _out(kind, *zip(*rows, strict=True))
-                rows.clear()
-    close()
-    if pairs:
-        yield _out(_PAIR, *zip(*pairs, strict=True))
-
-
 def _postings(shared, threshold: int):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rarest tokens of each signature; those of a crowded slot are marked as big at once."""
+        """The rarest tokens of each signature, those of a crowded slot marked hot, and how common all its tokens are."""
         counts = shared.value
         for batch in batches:
             tokens = _tokens(_stack(batch.column(1)))
             load = counts[_slot(tokens)]
+            common = load.sum(1)
             order = np.lexsort((tokens, load), axis=1)[:, :PREFIX]
             tokens, load = np.take_along_axis(tokens, order, 1).ravel(), np.take_along_axis(load, order, 1).ravel()
-            ids = np.repeat(batch.column(0).to_numpy(), PREFIX)
-            # A slot with one token in all holds no pair.
-            keep = load > 1
-            tokens, load, ids = tokens[keep], load[keep], ids[keep]
-            yield pa.RecordBatch.from_arrays([pa.array((load >= threshold).astype(np.int32)), pa.array(tokens.view(np.int64)), pa.array(ids)], names=["kind", "x", "y"])
+            ids, common = np.repeat(batch.column(0).to_numpy(), PREFIX), np.repeat(common, PREFIX)
+            keep = load > 1  # a slot with one token in all holds no pair
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (load >= threshold, tokens.view(np.int64), ids, common)], names=["hot", "token", "_id", "common"])
 
     return post
 
 
+def _to_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by token, commonest document first: each document of a token with the first one."""
+    token, pivot = None, 0
+    for batch in batches:
+        tokens, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(tokens):
+            continue
+        first = np.ones(len(tokens), bool)
+        first[1:] = tokens[1:] != tokens[:-1]
+        if token == tokens[0]:
+            first[0] = False
+        at = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
+        pivots = np.where(at >= 0, ids[np.maximum(at, 0)], pivot)
+        token, pivot = tokens[-1], pivots[-1]
+        rest = ~first
+        yield pa.RecordBatch.from_arrays([pa.array(x[rest]) for x in (tokens, ids, pivots)], names=["token", "_id", "pivot"])
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = (_stack(batch.column(2)) == _stack(batch.column(3))).sum(1) >= MATCHES if batch.num_rows else np.zeros(0, bool)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
 
-def _across(group: pa.Table) -> pa.Table:
-    """Pairs of two blocks of a token's documents that share enough tokens and are not connected."""
-    ids, labels, home = (group.column(c).to_numpy() for c in ("_id", "label", "home"))
-    signatures = _stack(group.column("_sig").combine_chunks())
-    low = home == home.min()
-    left = np.flatnonzero(low)
-    right = np.flatnonzero(~low) if not low.all() else left
-    a, b = [], []
-    for i in left:
-        j = right[labels[right] != labels[i]]
-        j = j[(signatures[j] == signatures[i]).sum(1) >= MATCHES]
-        j = j[ids[j] > ids[i]] if right is left else j
-        a += [ids[i]] * len(j)
-        b += ids[j].tolist()
-    a, b = np.array(a, np.int64), np.array(b, np.int64)
-    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+def _between(signatures: np.ndarray, labels: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens shared, and places, of the pairs of a token's documents in different components that share enough; of two blocks only pairs across."""
+    split = home.min() != home.max()
+    if len(labels) <= 64:
+        shared = (signatures[:, None, :] == signatures[None, :, :]).sum(2)
+        ok = (shared >= MATCHES) & (labels[:, None] < labels[None, :])
+        if split:
+            ok &= home[:, None] != home[None, :]
+        i, j = np.nonzero(ok)
+        return shared[i, j], i, j
+    names, sizes = np.unique(labels, return_counts=True)
+    # Of two components one is not the largest: its documents look for partners on either side.
+    largest = names[sizes.argmax()]
+    found = [(np.zeros(0, np.int64),) * 3]
+    for i in np.flatnonzero(labels != largest):
+        other = labels != labels[i]
+        if split:
+            other &= home != home[i]
+        j = np.flatnonzero(other)
+        shared = (signatures[j] == signatures[i]).sum(1)
+        enough = shared >= MATCHES
+        if enough.any():
+            found.append((shared[enough], np.full(int(enough.sum()), i), j[enough]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _across(limit: int):
+    """Of the documents of tokens, the pairs between components that share enough tokens: the best `limit` of each component and token.
+
+    A row with held over 0 has in `a` a token of which more pairs wait for the next round.
+    """
+
+    def propose(group: pa.Table) -> pa.Table:
+        column = {c: group.column(c).to_numpy() for c in ("token", "i", "j", "_id", "label", "home")}
+        signatures = np.frombuffer(b"".join(group.column("_short").to_pylist()), np.uint8).reshape(-1, SIZE)
+        order = np.lexsort((column["j"], column["i"], column["token"]))
+        column, signatures = {c: x[order] for c, x in column.items()}, signatures[order]
+        change = np.zeros(len(order), bool)
+        change[0] = True
+        for c in ("token", "i", "j"):
+            change[1:] |= column[c][1:] != column[c][:-1]
+        firsts = np.flatnonzero(change)
+        pairs, waiting = [], []
+        for lo, hi in zip(firsts, np.append(firsts[1:], len(order)), strict=True):
+            labels, ids = column["label"][lo:hi], column["_id"][lo:hi]
+            shared, i, j = _between(signatures[lo:hi], labels, column["home"][lo:hi])
+            if not len(shared):
+                continue
+            keep = np.zeros(len(shared), bool)
+            for side in (i, j):
+                best = np.lexsort((-shared, labels[side]))
+                owner = labels[side][best]
+                start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                rank = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
+                keep[best[rank < limit]] = True
+            pairs.append(np.stack([ids[i[keep]], ids[j[keep]]]))
+            if not keep.all():
+                waiting.append(column["token"][lo])
+        ends = np.concatenate(pairs, 1) if pairs else np.zeros((2, 0), np.int64)
+        ends = np.unique(np.sort(ends, 0), axis=1)
+        held = np.array(waiting, np.int64)
+        return pa.table({
+            "a": pa.array(np.append(ends[0], held)), "b": pa.array(np.append(ends[1], np.full(len(held), -1))), "held": pa.array(np.append(np.zeros(ends.shape[1], np.int64), np.ones(len(held), np.int64))),
+        })
+
+    return propose
+
+
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One byte of each value of a signature: as many matches or more, a quarter of the size."""
+    for batch in batches:
+        short = (_stack(batch.column(1)) & 0xFF).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in short], pa.binary())], names=["_id", "_short"])
 
 
 def _bit(ids: np.ndarray) -> np.ndarray:
@@ -258,15 +289,13 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     got = chosen.select("_sig").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most 2**SLOT_BITS rows
     counts[got.column("slot").to_numpy()] = got.column("n").to_numpy()
     threshold = int(4 * counts.mean() + 256)
-    postings = cut(chosen.select("_id", "_sig").mapInArrow(_postings(sc.broadcast(counts), threshold), "kind int, x long, y long"))
-    spread = postings.where("kind = 0").select("x", "y").repartition("x").sortWithinPartitions("x").mapInArrow(_pair_up, "kind int, x long, y long")
-    met = cut(spread.union(postings.where("kind = 1")))
-    big = met.where(f"kind = {_BIG}").select(F.col("x").alias("token"), F.col("y").alias("_id"))
-    few = F.array_distinct(F.array(*[F.min_by("_id", F.xxhash64("_id", F.lit(n))) for n in range(PIVOTS)]))
-    pivots = cut(big.groupBy("token").agg(F.count(F.lit(1)).alias("n"), few.alias("pivots")))
-    stars = skewed_join(big, pivots.where("n > 1").select("token", "pivots"), "token").select("_id", F.explode("pivots").alias("p"))
-    pairs = met.where(f"kind = {_PAIR}").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = pairs.union(stars.select(F.least("_id", "p").alias("a"), F.greatest("_id", "p").alias("b"))).where("a < b")
+    postings = cut(chosen.select("_id", "_sig").mapInArrow(_postings(sc.broadcast(counts), threshold), "hot boolean, token long, _id long, common long"))
+    cool = postings.where("not hot").select("token", "_id", "common").repartition("token").sortWithinPartitions("token", F.desc("common"), "_id").select("token", "_id")
+    hot = postings.where("hot")
+    pivots = cut(hot.groupBy("token").agg(F.max_by("_id", F.struct("common", F.negative("_id"))).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "pivot"))
+    warm = skewed_join(hot.select("token", "_id"), pivots, "token").where("_id <> pivot").select("token", "_id", "pivot")
+    # (token, document, pivot): the first pairs, and for later who shares a token.
+    met = cut(cool.mapInArrow(_to_pivot, "token long, _id long, pivot long").union(warm))
 
     def candidates(found: DataFrame) -> DataFrame:
         """Each pair once, with enough tokens in common."""
@@ -278,23 +307,45 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
         return out
 
     confirm = _Confirm(rows, words, percent)
-    links = confirm(candidates(pairs))
+    links = confirm(candidates(met.where("_id <> pivot").select(F.least("_id", "pivot").alias("a"), F.greatest("_id", "pivot").alias("b"))))
     labels = component_labels(links)
-
-    # The tokens of many documents whose documents are not all connected by now: every pair between their components.
-    labelled = cut(big.join(labels.withColumnRenamed("id", "_id"), "_id", "left").select("token", "_id", F.coalesce("label", "_id").alias("label")))
-    apart = cut(labelled.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    if apart.limit(1).count():
-        members = skewed_join(labelled, apart, "token").withColumn("home", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
-        dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("token", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "_id", "label", "home").join(chosen, "_id")
-        links = cut(links.union(confirm(candidates(dealt.groupBy("token", "i", "j").applyInArrow(_across, "a long, b long")))))
-        labels = component_labels(links)
+    # Two documents of a token have met each other; of three or more, those besides the pivot have not.
+    several = cut(met.groupBy("token", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "pivot"))
+    members = skewed_join(met.select("token", "_id"), several.select("token"), "token").union(several.select("token", F.col("pivot").alias("_id")))
+    short = cut(chosen.mapInArrow(_shorten, "_id long, _short binary"))
+    open_tokens = cut(members)
+    drop(met, postings)
+    parts = max(64, open_tokens.count() // TASK_ROWS)
+    for limit in ROUNDS:
+        labelled = cut(open_tokens.join(labels.withColumnRenamed("id", "_id"), "_id", "left").select("token", "_id", F.coalesce("label", "_id").alias("label")))
+        apart = cut(
+            labelled.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        )
+        if not apart.limit(1).count():
+            break
+        left = skewed_join(labelled, apart, "token").withColumn("home", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
+        left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        # Many small tokens make one group; each pair of blocks of a large one is a group by itself.
+        key = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("token"), F.lit(parts))).otherwise(F.xxhash64("token", "i", "j"))
+        dealt = left.withColumn("i", F.least("home", "other")).withColumn("j", F.greatest("home", "other")).withColumn("k", key)
+        dealt = dealt.select("k", "token", "i", "j", "_id", "label", "home").join(short, "_id")
+        proposed = cut(dealt.groupBy("k").applyInArrow(_across(limit), "a long, b long, held long"))
+        waiting = proposed.where("held > 0").select(F.col("a").alias("token")).distinct()
+        more = waiting.limit(1).count()
+        asked = proposed.where("held = 0").select("a", "b")
+        new = confirm(candidates(asked)) if asked.limit(1).count() else None
+        if new is not None and new.limit(1).count():
+            links = cut(links.union(new))
+            labels = component_labels(links)
+        if not more:
+            break
+        open_tokens = cut(open_tokens.join(waiting, "token", "left_semi"))
+        drop(labelled, proposed)
+    drop(open_tokens, short)
 
     known = cut(classes.join(labels.withColumnRenamed("id", "_rep"), "_rep", "left").select("_digest", F.coalesce("label", "_rep").alias("_component")))
     said = skewed_join(signed.where("_digest is not null").select("_id", "n_shingles", "_digest"), known, "_digest", "left").select("_id", "n_shingles", "_component")
     said = said.union(signed.where("_digest is null").select("_id", "n_shingles", F.col("_id").alias("_component")))
-    drop(met, postings, labelled)
     return said.select(F.col("_id").alias(id_col), "n_shingles", F.col("_component").alias("component_id"), F.coalesce(F.col("_id") == F.col("_component"), F.lit(False)).alias("kept"))
 
 

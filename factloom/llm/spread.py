@@ -85,12 +85,12 @@ def component_labels(links: DataFrame) -> DataFrame:
     both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
     while True:
-        seen = cut(both.join(labels.withColumnRenamed("id", "a"), "a").groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near")))
+        seen = both.join(labels.withColumnRenamed("id", "a"), "a").groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near"))
         step = cut(labels.join(seen, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("next"))
         new = cut(step.join(jump, "label").select("id", F.least("label", "next").alias("label"), "old"))
         changed = new.where("label <> old").limit(1).count()
-        drop(seen, step, labels)
+        drop(step, labels)
         labels = new
         if not changed:
             break
