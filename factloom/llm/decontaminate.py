@@ -15,7 +15,7 @@ Q = 8
 #: A passage of an item is WINDOW bytes, a shorter item one passage; passages overlap by half.
 WINDOW = 160
 #: Edits allowed in a passage, as a share of its length.
-ERROR_RATE = 0.06
+ERROR_RATE = 0.08
 #: Shorter passages than this are not searched: nothing tells them from ordinary speech.
 LEAST = 40
 
