@@ -16,8 +16,10 @@ Q = 8
 WINDOW = 160
 #: Edits allowed in a passage, as a share of its length.
 ERROR_RATE = 0.08
-#: Shorter passages than this are not searched: nothing tells them from ordinary speech.
+#: Shorter items than this are searched literally, as whole words.
 LEAST = 40
+#: Any stretch of an item of this many bytes (about 13 words) is searched, wherever it starts.
+STRETCH = 80
 
 _GAPS = re.compile(r"[\W_]+")
 _Q_BITS = 21
@@ -53,14 +55,20 @@ class Passage:
 
 
 class Index:
-    """Passages of all items, their q-grams sorted, and a bitmap of the q-grams."""
+    """Passages of all items, their q-grams sorted, and a bitmap of the q-grams; whole items likewise, for stretches; short items by text."""
 
     def __init__(self, items: list[tuple[int, str]], window: int, error_rate: float):
         self.passages: list[Passage] = []
+        self.items: list[tuple[int, np.ndarray]] = []
+        self.short: dict[bytes, list[int]] = {}
         for item, text in items:
             data = np.frombuffer(normalise(text or "").encode(), np.uint8)
             if len(data) < LEAST:
+                if len(data):
+                    self.short.setdefault(data.tobytes(), []).append(item)
                 continue
+            if len(data) > STRETCH:  # one of STRETCH bytes is a passage itself
+                self.items.append((item, data))
             starts = [0] if len(data) <= window else [*range(0, len(data) - window, window // 2), len(data) - window]
             for start in starts:
                 part = data[start : start + window]
@@ -73,6 +81,17 @@ class Index:
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(self.grams, kind="stable")
         self.grams, self.owner, self.place = self.grams[order], self.owner[order], self.place[order]
+        whole = [_grams(data) for _, data in self.items]
+        self.item_grams = np.concatenate(whole) if whole else np.zeros(0, np.uint64)
+        self.item_owner = np.concatenate([np.full(len(g), i) for i, g in enumerate(whole)]) if whole else np.zeros(0, np.int64)
+        self.item_place = np.concatenate([np.arange(len(g)) for g in whole]) if whole else np.zeros(0, np.int64)
+        order = np.argsort(self.item_grams, kind="stable")
+        self.item_grams, self.item_owner, self.item_place = self.item_grams[order], self.item_owner[order], self.item_place[order]
+        # each q-gram once, with where its entries of passages and of items begin and how many they are
+        self.keys = np.unique(self.grams)
+        self.ranges = [(np.searchsorted(g, self.keys), np.searchsorted(g, self.keys, side="right") - np.searchsorted(g, self.keys)) for g in (self.grams, self.item_grams)]
+        self.stretch_edits = int(error_rate * STRETCH)
+        self.stretch_needed = max(1, STRETCH - Q + 1 - Q * self.stretch_edits)
         self.bitmap = np.zeros(1 << _Q_BITS, bool)
         self.bitmap[_slot(self.grams)] = True
         self.needed = np.array([p.needed for p in self.passages], np.int64)
@@ -82,6 +101,9 @@ class Index:
         for p in self.passages:
             span, needed = classes.get(len(p.data) // 8, (0, 1 << 30))
             classes[len(p.data) // 8] = (max(span, len(p.data) + p.edits), min(needed, p.needed))
+        if self.items:
+            classes[-1] = (STRETCH + self.stretch_edits, self.stretch_needed)
+            self.span = max(self.span, STRETCH + self.stretch_edits)
         self.classes = list(classes.values())
 
     def dense(self, data: np.ndarray) -> list[tuple[int, int]]:
@@ -102,15 +124,15 @@ class Index:
         return [(int(a), min(int(b) + self.span + Q, len(data))) for a, b in zip(firsts, lasts, strict=True)]
 
     def matches(self, data: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(item, passage start, start, end, edits) of the best match of each passage found in a normalised text."""
+        """(item, passage start, start, end, edits) of the best match of each passage found in a normalised text, then of stretches elsewhere and of short items."""
         best: dict[int, tuple[int, int, int]] = {}
         raw = data.tobytes()
-        for lo, hi in self.dense(data):
-            grams = _grams(data[lo:hi])
-            left = np.searchsorted(self.grams, grams, side="left")
-            count = np.searchsorted(self.grams, grams, side="right") - left
-            where = np.repeat(np.arange(len(grams)), count)
-            entry = np.arange(len(where)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(left, count)
+        dense, found_grams = self.dense(data), []
+        for lo, hi in dense:
+            at, key = self.lookup(data[lo:hi])
+            if self.items:
+                found_grams.append((at, key))
+            where, entry = self.entries(at, key, 0)
             enough = np.bincount(self.owner[entry], minlength=len(self.passages)) >= self.needed
             entry, where = entry[enough[self.owner[entry]]], where[enough[self.owner[entry]]]
             if not len(entry):
@@ -124,10 +146,10 @@ class Index:
             width = max(p.edits for p in self.passages) + 1
             for shift in (0, width):
                 band = (diagonal + shift) // (2 * width)
-                keys = owner.astype(np.int64) << 40 | band
+                found, which_band = np.unique(owner.astype(np.int64) << 40 | band, return_inverse=True)
                 # one place of a passage counts once in a band
-                seen = np.unique(np.stack([keys, self.place[entry]]), axis=1)[0] if len(keys) else keys
-                found, counts = np.unique(seen, return_counts=True)
+                seen = np.unique(which_band.astype(np.int64) << 32 | self.place[entry])
+                counts = np.bincount(seen >> 32, minlength=len(found))
                 for key, n in zip(found.tolist(), counts.tolist(), strict=True):
                     which, b = key >> 40, key & ((1 << 40) - 1)
                     passage = self.passages[which]
@@ -137,7 +159,114 @@ class Index:
                     hit = align(passage.data, data, first, 2 * width, passage.edits)
                     if hit and hit[0] < best.get(which, (1 << 30,))[0]:
                         best[which] = hit
-        return [(self.passages[w].item, self.passages[w].start, s, e, d) for w, (d, s, e) in sorted(best.items())]
+        out = [(self.passages[w].item, self.passages[w].start, s, e, d) for w, (d, s, e) in sorted(best.items())]
+        if self.items:
+            for (lo, _), (at, key) in zip(dense, found_grams, strict=True):
+                self.stretches(data, raw, lo, at, key, out)
+        return out + self.short_items(raw) if self.short else out
+
+    def lookup(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where q-grams of the index stand, and which."""
+        grams = _grams(data)
+        at = np.flatnonzero(self.bitmap[_slot(grams)]) if len(grams) else np.zeros(0, np.int64)
+        key = np.minimum(np.searchsorted(self.keys, grams[at]), max(0, len(self.keys) - 1))
+        same = self.keys[key] == grams[at]
+        return at[same], key[same]
+
+    def entries(self, at: np.ndarray, key: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of passages (0) or items (1) for q-grams found, with their places."""
+        left, count = (x[key] for x in self.ranges[table])
+        where = np.repeat(at, count)
+        return where, np.arange(len(where)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(left, count)
+
+    def stretches(self, data: np.ndarray, raw: bytes, lo: int, at: np.ndarray, key: np.ndarray, out: list[tuple[int, int, int, int, int]]) -> None:
+        """Adds the stretches of items that do not overlap a match of the same item; q-grams stand at places counted from lo."""
+        if len(at) < self.stretch_needed:
+            return
+        where, entry = self.entries(at, key, 1)
+        enough = np.bincount(self.item_owner[entry], minlength=len(self.items)) >= self.stretch_needed
+        keep = enough[self.item_owner[entry]]
+        entry, where = entry[keep], where[keep]
+        if not len(entry):
+            return
+        owner, place = self.item_owner[entry].astype(np.int64), self.item_place[entry]
+        offset = len(max((d for _, d in self.items), key=len))
+        diagonal, width, last = where - place + offset, self.stretch_edits + 1, self.stretch_needed - 1
+        for shift in (0, width):
+            bands, band = np.unique(owner << 40 | (diagonal + shift) // (2 * width), return_inverse=True)
+            seen = np.unique(band.astype(np.int64) << 32 | place)
+            # so many places of one band within a stretch
+            dense = np.flatnonzero(seen[last:] - seen[: len(seen) - last] <= STRETCH - Q) if len(seen) > last else []
+            if not len(dense):
+                continue
+            for b in np.unique(seen[dense] >> 32).tolist():
+                item, text = self.items[int(bands[b]) >> 40]
+                places = seen[np.searchsorted(seen, b << 32) : np.searchsorted(seen, b + 1 << 32)] & 0xFFFFFFFF
+                starts = np.arange(max(0, int(places[0]) - STRETCH), min(int(places[-1]), len(text) - STRETCH) + 1)
+                starts = starts[np.searchsorted(places, starts + STRETCH - Q, side="right") - np.searchsorted(places, starts) >= self.stretch_needed]
+                first = lo + (int(bands[b]) & ((1 << 40) - 1)) * 2 * width - shift - offset
+                clear = np.ones(len(starts), bool)
+                for other, _, s, e, _ in out:
+                    if other == item:
+                        clear &= (starts + first + 2 * width + STRETCH <= s) | (starts + first >= e)
+                starts = starts[clear]
+                while len(starts):
+                    hit = self.literal(text, raw, starts, first, 2 * width) or align_stretch(text, data, starts, first, 2 * width, self.stretch_edits)
+                    if not hit:
+                        break
+                    out.append((item, *hit))
+                    starts = starts[(starts + first + 2 * width + STRETCH <= hit[1]) | (starts + first >= hit[2])]
+
+    @staticmethod
+    def literal(text: np.ndarray, raw: bytes, starts: np.ndarray, first: int, width: int) -> tuple[int, int, int, int] | None:
+        """(item start, start, end, 0) of a stretch that occurs literally, as long as it stays equal."""
+        own = text.tobytes()
+        for s in starts.tolist():
+            at = raw.find(own[s : s + STRETCH], max(0, s + first), max(0, s + first + width + STRETCH))
+            if at >= 0:
+                end = STRETCH
+                while s > 0 and at > 0 and own[s - 1] == raw[at - 1]:
+                    s, at, end = s - 1, at - 1, end + 1
+                while s + end < len(own) and at + end < len(raw) and own[s + end] == raw[at + end]:
+                    end += 1
+                return s, at, at + end, 0
+        return None
+
+    def short_items(self, raw: bytes) -> list[tuple[int, int, int, int, int]]:
+        """Items under LEAST bytes that stand in the text as whole words."""
+        space = np.frombuffer(b" " + raw + b" ", np.uint8) == 32
+        at, out = np.flatnonzero(space), {}
+        for n in {len(x) for x in self.short}:
+            ends = at + n + 1
+            for p in at[(ends < len(space)) & space[np.minimum(ends, len(space) - 1)]].tolist():
+                if raw[p : p + n] in self.short:
+                    out.setdefault(raw[p : p + n], p)
+        return [(item, 0, p, p + len(x), 0) for x, p in sorted(out.items()) for item in self.short[x]]
+
+
+def align_stretch(text: np.ndarray, data: np.ndarray, starts: np.ndarray, first: int, width: int, edits: int) -> tuple[int, int, int, int] | None:
+    """(item start, start, end, edits) of the best of the stretches text[s : s + STRETCH], s in starts, aligned as in align() on diagonals first..first+width."""
+    n, far = width + 2 * edits + 1, 1 << 20
+    at = starts[:, None] + first - edits + np.arange(n)
+    row = np.where((at >= np.maximum(0, starts + first)[:, None]) & (at <= np.minimum(starts + first + width, len(data))[:, None]), 0, far)
+    origin, steps = at.copy(), np.arange(n)
+    none = np.full((len(starts), 1), far)
+    for i in range(STRETCH):
+        col = at + i
+        inside = (col >= 0) & (col < len(data))
+        same = inside & (data[np.clip(col, 0, len(data) - 1)] == text[starts + i][:, None])
+        diagonal = np.where(inside, row + ~same, far)
+        down = np.hstack([row[:, 1:], none]) + 1
+        take = down < diagonal
+        new, new_origin = np.where(take, down, diagonal), np.where(take, np.hstack([origin[:, 1:], none]), origin)
+        shifted = new - steps
+        low = np.minimum.accumulate(shifted, axis=1)
+        source = np.maximum.accumulate(np.where(shifted == low, steps, 0), axis=1)
+        row, origin = low + steps, np.take_along_axis(new_origin, source, axis=1)
+        if row.min() > edits:
+            return None
+    which, end = np.unravel_index(int(row.argmin()), row.shape)
+    return int(starts[which]), int(origin[which, end]), int(min(at[which, end] + STRETCH, len(data))), int(row[which, end])
 
 
 def align(pattern: np.ndarray, data: np.ndarray, first: int, width: int, edits: int) -> tuple[int, int, int] | None:
@@ -179,8 +308,10 @@ MATCH = "array<struct<item_id:long,passage_start:int,start:int,end:int,edits:int
 def find_benchmark(docs: DataFrame, items: list[tuple[int, str]], window: int = WINDOW, error_rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id and `matches` with passages of the benchmark items.
 
-    A document matches when a whole passage (a whole item, if short) aligns with
-    a stretch of it within the edit budget, both normalised. Positions count
+    A document matches when a whole passage (a whole item, if short) or any
+    STRETCH bytes of an item align with a stretch of it within the edit budget,
+    both normalised; items under LEAST bytes match literally, as whole words.
+    Stretches are listed where no match of their item stands. Positions count
     bytes of the normalised text. Whole texts are searched in one pass; every
     stretch that the q-gram lemma leaves possible is aligned, so no match within
     the budget is lost. Null and empty texts and null items match nothing;
@@ -253,15 +384,30 @@ def op7(spark, sf_dir: str) -> DataFrame:
 
 
 def brute_force(text: str, items: list[tuple[int, str]], window: int = WINDOW, error_rate: float = ERROR_RATE) -> set[int]:
-    """Items whose passages occur within the edit budget, by full alignment, for tests."""
-    data = np.frombuffer(normalise(text).encode(), np.uint8)
-    out = set()
-    for p in Index(items, window, error_rate).passages:
-        row = np.zeros(len(data) + 1, np.int64)
-        steps = np.arange(len(data) + 1)
-        for i, symbol in enumerate(p.data.tolist()):
-            new = np.append(i + 1, np.minimum(row[:-1] + (data != symbol), row[1:] + 1))
-            row = np.minimum.accumulate(new - steps) + steps
-        if row.min() <= p.edits:
-            out.add(p.item)
+    """Items with a passage or stretch that occurs within the edit budget, by full alignment, for tests."""
+    body = normalise(text)
+    data, out = np.frombuffer(body.encode(), np.uint8), set()
+    steps = np.arange(len(data) + 1, dtype=np.int32)
+
+    def occurs(patterns: np.ndarray, edits: int) -> bool:
+        row = np.zeros((len(patterns), len(data) + 1), np.int32)
+        for i in range(patterns.shape[1]):
+            new = np.minimum(row[:, :-1] + (data != patterns[:, i : i + 1]), row[:, 1:] + 1)
+            new = np.hstack([np.full((len(patterns), 1), i + 1, np.int32), new])
+            row = np.minimum.accumulate(new - steps, axis=1) + steps
+        return bool(row.min() <= edits)
+
+    for item, own in items:
+        own = normalise(own or "")
+        part = np.frombuffer(own.encode(), np.uint8)
+        if len(part) < LEAST:
+            found = bool(own) and f" {own} " in f" {body} "
+        else:
+            starts = range(0, max(1, len(part) - window + 1), max(1, window // 2)) if len(part) > window else [0]
+            wholes = np.stack([part[s : s + window] for s in {*starts, max(0, len(part) - window)}])
+            found = occurs(wholes, int(error_rate * wholes.shape[1]))
+            if not found and len(part) > STRETCH:
+                found = occurs(np.lib.stride_tricks.sliding_window_view(part, STRETCH), int(error_rate * STRETCH))
+        if found:
+            out.add(item)
     return out

@@ -288,6 +288,29 @@ def test_decontamination_equals_full_alignment(spark):
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_stretches_off_the_grid_and_short_items():
+    rng = random.Random(16)
+    speak = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    items = [(i, speak(60)) for i in range(6)] + [(7, "Two words!"), (8, "..."), (9, "words")]
+    index = decontaminate.Index(items, decontaminate.WINDOW, decontaminate.ERROR_RATE)
+    caught = 0
+    for n in range(60):
+        size, item = rng.choice((70, 79, 80, 81, 100, 140, 180, 215)), rng.randrange(6)
+        at = rng.randrange(len(items[item][1]) - size)
+        part = list(items[item][1][at : at + size])
+        for _ in range(n % 3 * 4):
+            k = rng.randrange(len(part))
+            part[k : k + rng.randrange(2)] = rng.choice(("", "x", "yz"))
+        text = f"{speak(20)} {''.join(part)} {speak(20)}"
+        found = {m[0] for m in index.matches(np.frombuffer(decontaminate.normalise(text).encode(), np.uint8))}
+        assert found == decontaminate.brute_force(text, items)
+        assert n % 3 or size < 81 or item in found
+        caught += item in found
+    assert caught >= 20
+    both = lambda text: (decontaminate.brute_force(text, items), {m[0] for m in index.matches(np.frombuffer(text.encode(), np.uint8))})
+    assert both("x two words") == ({7, 9}, {7, 9}) and both("two wordsmiths") == (set(), set()) and both("") == (set(), set())
+
+
 # ---- 8
 
 
