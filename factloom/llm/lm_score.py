@@ -34,6 +34,9 @@ SLOT_BITS = 18
 REGISTER_BITS = 16
 BROADCAST_IDS = 1_000_000
 
+#: A count takes 7 bits; this value says that it stands whole among the large ones.
+_FULL = 127
+
 _START = np.uint64(0x5851F42D4C957F2D)
 _CONTEXT = np.uint64(0x14057B7EF767814F)
 
@@ -177,22 +180,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
             slice_id = part << 32 | number
             number += 1
             keys, owner, counts = keys[~known], owner[~known], counts[~known]
-            while len(counts) and counts.max() > 127:  # larger counts stand as several entries
-                more = counts > 127
-                keys, owner = np.concatenate([keys, keys[more]]), np.concatenate([owner, owner[more]])
-                counts = np.concatenate([np.minimum(counts, 127), counts[more] - 127])
             order = np.argsort(keys, kind="stable")
             keys, owner, counts = keys[order], owner[order], counts[order]
             bounds = np.searchsorted(keys, np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - bits))
             low = (keys << np.uint64(bits) >> np.uint64(32)).astype("<u4") & np.uint32(0xFFFFFFFE) | (keys & np.uint64(1)).astype("<u4")
-            flagged = (counts | target[owner].astype(np.int64) << 7).astype(np.uint8)
+            large = counts >= _FULL
+            flagged = (np.minimum(counts, _FULL) | target[owner].astype(np.int64) << 7).astype(np.uint8)
             wide = "<u2" if batch.num_rows <= 0xFFFF else "<u4"
-            out = {"bucket": [-1 - slice_id % buckets], "slice": [slice_id], "size": [batch.num_rows], "keys": [sink.getvalue().to_pybytes()], "owners": [b""], "counts": [b""]}
+            out = {"bucket": [-1 - slice_id % buckets], "slice": [slice_id], "size": [batch.num_rows], "keys": [sink.getvalue().to_pybytes()], "owners": [b""], "counts": [b""], "large": [b""]}
             for b, (lo, hi) in enumerate(zip(np.append(0, bounds), np.append(bounds, len(keys)), strict=True)):
                 if hi > lo:
-                    for name, x in zip(out, (b, slice_id, batch.num_rows, low[lo:hi].tobytes(), owner[lo:hi].astype(wide).tobytes(), flagged[lo:hi].tobytes()), strict=True):
+                    for name, x in zip(out, (b, slice_id, batch.num_rows, low[lo:hi].tobytes(), owner[lo:hi].astype(wide).tobytes(), flagged[lo:hi].tobytes(), counts[lo:hi][large[lo:hi]].astype("<u4").tobytes()), strict=True):
                         out[name].append(x)
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("size", pa.int64()), *((n, pa.binary()) for n in ("keys", "owners", "counts"))]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("size", pa.int64()), *((n, pa.binary()) for n in ("keys", "owners", "counts", "large"))]))
 
     def count_and_score(group: pa.Table) -> pa.Table:
         form = pa.schema([("slice", pa.int64()), ("size", pa.int64()), ("packed", pa.binary())])
@@ -205,9 +205,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         owner = np.concatenate([np.frombuffer(x.as_py(), "<u2" if s <= 0xFFFF else "<u4").astype(np.int64) for x, s in zip(group.column("owners"), sizes, strict=True)]) + np.repeat(base[:-1], lengths)
         flagged = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint8)
         keys = np.concatenate(keys)
+        counts, target = (flagged & _FULL).astype(np.int64), flagged >> 7
+        counts[counts == _FULL] = np.frombuffer(b"".join(group.column("large").to_pylist()), "<u4")
         order = np.argsort(keys, kind="stable")
-        keys, owner, flagged = keys[order], owner[order], flagged[order]
-        counts, target = (flagged & 127).astype(np.int64), flagged >> 7
+        keys, owner, counts, target = keys[order], owner[order], counts[order], target[order]
         first = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
         times = np.diff(np.append(first, len(keys)))
         context = (keys & 1).astype(bool)
@@ -235,7 +236,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         value = lambda x: pa.array(x, pa.float64(), mask=none)
         return pa.table({"_id": header.column("id"), "n_tokens": pa.array(tokens), "loss_target": value(target), "loss_background": value(back), "score": value(back - target)})
 
-    dealt = rows.mapInArrow(deal, "bucket long, slice long, size long, keys binary, owners binary, counts binary")
+    dealt = rows.mapInArrow(deal, "bucket long, slice long, size long, keys binary, owners binary, counts binary, large binary")
     parts = dealt.groupBy("bucket").applyInArrow(count_and_score, "slice long, size long, packed binary")
     out = parts.groupBy("slice").applyInArrow(gather, "_id long, n_tokens long, loss_target double, loss_background double, score double")
     return out.withColumnRenamed("_id", id_col)

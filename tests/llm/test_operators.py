@@ -262,6 +262,16 @@ def test_lm_scores_equal_plain_counts(spark):
     assert lm_score.score(docs(spark, []).withColumn("target", F.lit(True))).count() == 0
 
 
+def test_lm_leaves_out_the_whole_own_count(spark):
+    times = [2, 126, 127, 128, 254, 255, 1000, 70000]
+    d = docs(spark, [(n, f"w{n} " * (n + 1)) for n in times]).withColumn("target", F.col("doc_id").isin(127, 1000))
+    size = len(times) + 1
+    for r in lm_score.score(d).collect():
+        for starts, value in ((2 - (r.doc_id in (127, 1000)), r.loss_target), (len(times) - 1, r.loss_background)):
+            loss = -(r.doc_id + 1) * np.log(lm_score.ALPHA) + r.doc_id * np.log(lm_score.ALPHA * size) + np.log(starts + lm_score.ALPHA * size)
+            assert value == pytest.approx(loss / (r.doc_id + 1), abs=0.01)
+
+
 # ---- 7
 
 
