@@ -111,23 +111,24 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def zones(docs: DataFrame, gene: str, id_col: str = "doc_id", text_col: str = "text", top: int = 30, least: float = 0.1) -> DataFrame:
-    """Scored paragraphs, those next to each other merged; the best `top` of a document by score."""
+    """Scored paragraphs, those next to each other merged to zones; the best `top` zones of a document by the score of their joint signals, the earlier of equals."""
     p = paragraphs(docs, id_col, text_col)
     n = lambda pattern: F.regexp_count("paragraph", F.lit(pattern))
-    signal = p.select(
-        id_col,
-        "place",
-        evidence_score(
-            F.col("paragraph").rlike(gene), n(MENTIONS["one_letter"][0] + "|" + MENTIONS["coding"][0]), n(r"(?i)\b(patients?|probands?|carriers?|individuals?)\b"), n(r"(?i)\b(mutation|phenotype|cohort|family|penetrance)\w*"),
-            F.contains("paragraph", F.lit("|")), F.col("paragraph").rlike(r"(?i)^\s*table\s"), F.col("paragraph").rlike("(?i)supplement"),
-        ).alias("score"),
-    ).where(F.col("score") >= least)
+    signals = {
+        "gene": F.col("paragraph").rlike(gene), "variants": n(MENTIONS["one_letter"][0] + "|" + MENTIONS["coding"][0]), "individuals": n(r"(?i)\b(patients?|probands?|carriers?|individuals?)\b"), "keywords": n(r"(?i)\b(mutation|phenotype|cohort|family|penetrance)\w*"),
+        "table": F.contains("paragraph", F.lit("|")), "caption": F.col("paragraph").rlike(r"(?i)^\s*table\s"), "supplement": F.col("paragraph").rlike("(?i)supplement"),
+    }
+    scored = p.select(id_col, "place", F.col("place").alias("last"), *[c.alias(f"_{k}") for k, c in signals.items()])
+    scored = scored.withColumn("_score", evidence_score(*[F.col(f"_{k}") for k in signals])).where(F.col("_score") >= least)
+    counted = ("variants", "individuals", "keywords")
+    joint = [(F.sum if k in counted else F.max)(f"_{k}").alias(f"_{k}") for k in signals]
+    merged = coalesce_intervals(scored, [id_col], "place", "last", 1, [*joint, F.max("_score").alias("_score")])
     from pyspark.sql import Window
 
-    ranked = signal.withColumn("r", F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "place"))).where(F.col("r") <= top)
-    return coalesce_intervals(ranked.withColumn("last", F.col("place")).drop("r"), [id_col], "place", "last", 1).join(
-        ranked.groupBy(id_col).agg(F.max("score").alias("best_score")), id_col
-    )
+    whole = F.round(F.least(evidence_score(*[F.col(f"_{k}") for k in signals]), F.lit(1.0)), 2)
+    of = Window.partitionBy(id_col)
+    ranked = merged.withColumn("_whole", whole).withColumn("best_score", F.max("_score").over(of)).withColumn("_r", F.row_number().over(of.orderBy(F.desc("_whole"), "place")))
+    return ranked.where(F.col("_r") <= top).select(id_col, "island", "place", "last", "n", "best_score")
 
 
 def captions(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,14 +96,14 @@ def complementary_merge(rows: DataFrame, key: list[str], fields: list[str]) -> D
     return merged.unionByName(marked.where("_clash").select(*key, *fields))
 
 
-def coalesce_intervals(rows: DataFrame, by: list[str], start: str, end: str, gap: float = 0) -> DataFrame:
-    """Intervals of a group merged where one starts no more than `gap` after the greatest end so far."""
+def coalesce_intervals(rows: DataFrame, by: list[str], start: str, end: str, gap: float = 0, more: Sequence[Column] = ()) -> DataFrame:
+    """Intervals of a group merged where one starts no more than `gap` after the greatest end so far; `more` are further aggregates."""
     order = Window.partitionBy(*by).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(reach.isNull() | (F.col(start) > reach + gap), 1).otherwise(0)
     island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
     marked = rows.withColumn("_new", new).withColumn("island", island)
-    return marked.groupBy(*by, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
+    return marked.groupBy(*by, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"), *more)
 
 
 def context_window(lines: DataFrame, by: list[str], order: str, text: str, around: int = 2) -> DataFrame:

@@ -237,3 +237,12 @@ def test_registry():
 def test_health_band_takes_the_worst(spark):
     rows = spark.createDataFrame([(0.1, None), (0.2, 0.4), (None, None), (0.15, 0.0)], "a double, b double")
     assert [r[0] for r in rows.select(scoring.health_band(F.col("a"), F.col("b"))).collect()] == ["healthy", "needs attention", "not yet gated", "watch"]
+
+
+def test_zones_are_merged_before_the_best_are_kept(spark):
+    the, no, strong = "the one", "nothing", "the patient carriers"
+    docs = spark.createDataFrame([(1, "\n\n".join([the] * 60)), (2, "\n\n".join([the, no] * 39 + [strong])), (3, no), (4, None)], "doc_id long, text string")
+    found = documents.zones(docs, r"(?i)\bthe\b").orderBy("doc_id", "place").collect()
+    assert [(r.place, r["last"], r.n) for r in found if r.doc_id == 1] == [(0, 59, 60)]
+    assert [r.place for r in found if r.doc_id == 2] == [*range(0, 58, 2), 78]
+    assert {r.doc_id for r in found} == {1, 2}
