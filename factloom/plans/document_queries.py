@@ -217,3 +217,10 @@ def form_overlap_join(spark, sf):
     p = table(spark, sf, "part").selectExpr("p_partkey AS id", "p_brand AS paper", "array(p_size, CAST(p_size + p_partkey % 7 AS INT)) AS forms")
     left, right = p.where("id % 5 = 0").withColumnRenamed("id", "a"), p.where("id % 5 = 1").withColumnRenamed("id", "b")
     return matching.overlap_join(left, right, "paper", "forms").select("a", "b")
+
+
+@query()
+def form_overlap_all(spark, sf):
+    """All pairs a < b of parts of a brand that share a form."""
+    p = table(spark, sf, "part").selectExpr("p_partkey AS id", "p_brand AS paper", "array(p_size, CAST(p_size + p_partkey % 7 AS INT)) AS forms")
+    return matching.overlap_join(p.withColumnRenamed("id", "a"), p.withColumnRenamed("id", "b"), "paper", "forms").where("a < b").select("a", "b")

@@ -48,3 +48,9 @@ def test_query_equals_sql(spark, sql, name):
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
 def test_query_without_sql_runs(spark, name):
     assert catalogue.QUERIES[name](spark, FOLDER).count() >= 0
+
+
+def test_form_overlap_holds_every_pair(spark):
+    rows = [(r.p_partkey, r.p_brand, {r.p_size, r.p_size + r.p_partkey % 7}) for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect()]
+    pairs = sorted((a, b) for a, x, f in rows for b, y, g in rows if a < b and x == y and f & g)
+    assert pairs and sorted((r.a, r.b) for r in catalogue.QUERIES["form_overlap_all"](spark, FOLDER).collect()) == pairs
