@@ -27,9 +27,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by a similarity of 0.8 on five-word shingles."""
-    kept = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi")
+    """One document, that with the smallest id, of each group linked by a similarity of 0.8 on five-word shingles.
+
+    Rows without an id go by a hash of their text above all ids (exact copies are gone by then).
+    """
+    own = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    named = docs.withColumn("_near", F.coalesce(F.col("doc_id"), own))
+    kept = near_dedup.near_dedup(named, id_col="_near").where("kept").select(F.col("_near").alias("_kept")).distinct()
+    return named.join(kept, named["_near"] == F.col("_kept"), "left_semi").drop("_near")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,17 @@ def test_stages_in_order(spark, tmp_path):
     assert kept["packing"] == kept["decontamination"]
 
 
+def test_near_dedup_keeps_rows_without_id(spark):
+    base, other = " ".join(WORDS * 3), " ".join(f"{w} {i}" for i, w in enumerate(WORDS * 2))
+    rows = [(100, base), (None, base + " again"), (None, other), (None, other + " again"), (None, "five words that stand alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_exact_copies(spark, docs, ""), "")
+    assert found.columns == docs.columns
+    kept = {(r.doc_id, r.text) for r in found.collect()}
+    assert kept >= {(100, base), (None, "five words that stand alone")} and len(kept) == 3
+    assert len(kept & {(None, other), (None, other + " again")}) == 1
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
