@@ -432,3 +432,13 @@ def test_shingle_hashes_follow_the_words():
     sets = textvec.shingle_sets(np.frombuffer(data, np.uint8), offsets, 2)
     assert [len(s) for s in sets] == [2, 2, 1, 0, 1, 1]
     assert sets[0].tolist() == sets[1].tolist() and sets[2][0] in sets[0] and sets[4][0] not in sets[0]
+
+
+def test_html_copies_do_not_make_a_template_of_an_article(spark):
+    page = lambda k: f"<html><body><div class=\"menu\"><p>site menu of the host</p></div><div class=\"main\"><h1>heading {k} of its own</h1>{''.join(f'<p>passage {k} {j} with a number of words</p>' for j in range(2 + 4 * (k[2:] != '0')))}</div></body></html>"
+    for host in range(4):  # which page is the reference hangs on hashes
+        rows = [(i, f"http://h{host}.example/{i}", page(f"{host}x{max(0, i - 399)}")) for i in range(412)]
+        found = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        for r in found:
+            k = f"{host}x{max(0, r.page_id - 399)}"
+            assert f"heading {k} of" in r.text and f"passage {k} 1" in r.text and "site menu" not in r.text
