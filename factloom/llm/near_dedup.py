@@ -5,19 +5,22 @@ documents whose sets have the similarity sought share about that part of their
 tokens; those that share fewer than MATCHES are no candidates. For similarity
 0.8 the chance to miss a link so is about one in a million.
 
-Prefix merging: tokens stand in one global order, rarest first. Two signatures
-that share MATCHES tokens share one of their first SIZE - MATCHES + 1, so only
-these are posted. Skip merging: documents with equal sets are one; the documents
-of a token are first compared with one pivot, that of the commonest tokens, which
-in a family of copies is the one nearest to all. Only what is not connected by
-then is compared further, and every component proposes its best pairs first, more
-of them each round, so a pair is not looked at once its ends are connected.
+Prefix: tokens stand in one global order, rarest first. Two signatures that share
+MATCHES tokens share one of their first SIZE - MATCHES + 1, so only these are
+posted. Documents that a token brings together are compared where its postings
+are: collisions are counted by merging the inverted lists of the group. Skip: a
+document that already is in the group's main component is not looked up again.
+What leaves a task is a forest of links, never all pairs, so rows grow with the
+documents. Trees of this forest are families; no link can leave its family.
+
+The full texts of a family then meet in the same way, each text once for a small
+family, and the exact similarity of its pairs is counted on whole sets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +33,16 @@ from factloom.llm.spread import component_labels, cut, drop, skewed_join
 SIZE = 64
 MATCHES = 35
 PREFIX = SIZE - MATCHES + 1
-#: Pairs that a component proposes for a token in each round after the pivots; the last round has no limit.
-ROUNDS = (4, 32, 256, 1 << 62)
-#: Documents of a token are compared in blocks of so many.
-BLOCK = 2048
-#: Rows of small tokens that a task compares at a time, about.
+#: A group beyond so many rows or bytes is dealt over tasks in blocks.
+BLOCK_ROWS = 4096
+BLOCK_BYTES = 12 << 20
+#: About so many documents of a large group meet every block of it first.
+PIVOTS = 64
+#: Rows or bytes of small groups that a task compares at a time, about.
 TASK_ROWS = 20_000
+TASK_BYTES = 6 << 20
+#: Slots of the count of tokens: a crowded slot stands out at any size, as the mean grows with the rows.
 SLOT_BITS = 18
-FILTER_BITS = 23
 
 _rng = np.random.Generator(np.random.PCG64(314159))
 _MULTIPLY = _rng.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -56,16 +61,17 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def _signatures(words: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in textvec.slices(batches, "_text"):
-            sets = textvec.shingle_sets(*textvec.text_buffers(batch.column("_text")), words)
+        for batch in textvec.slices(batches, "_load"):
+            sets = textvec.shingle_sets(*textvec.text_buffers(batch.column("_load")), words)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
+                    batch.column("_h"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["_id", "n_shingles", "_digest", "_sig"],
+                names=["_id", "_h", "n_shingles", "_digest", "_sig"],
             )
 
     return make
@@ -93,176 +99,194 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _postings(shared, threshold: int):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rarest tokens of each signature, those of a crowded slot marked hot, and how common all its tokens are."""
+        """The rarest tokens of each signature, those of a crowded slot marked hot."""
         counts = shared.value
         for batch in batches:
             tokens = _tokens(_stack(batch.column(1)))
             load = counts[_slot(tokens)]
-            common = load.sum(1)
             order = np.lexsort((tokens, load), axis=1)[:, :PREFIX]
             tokens, load = np.take_along_axis(tokens, order, 1).ravel(), np.take_along_axis(load, order, 1).ravel()
-            ids, common = np.repeat(batch.column(0).to_numpy(), PREFIX), np.repeat(common, PREFIX)
+            ids = np.repeat(batch.column(0).to_numpy(), PREFIX)
             keep = load > 1  # a slot with one token in all holds no pair
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (load >= threshold, tokens.view(np.int64), ids, common)], names=["hot", "token", "_id", "common"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (load >= threshold, tokens.view(np.int64), ids)], names=["hot", "group", "node"])
 
     return post
 
 
-def _to_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From postings sorted by token, commonest document first: each document of a token with the first one."""
-    token, pivot = None, 0
+def _not_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by token: those of tokens with two rows or more."""
+    held, open_ = None, False
     for batch in batches:
         tokens, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(tokens):
             continue
-        first = np.ones(len(tokens), bool)
-        first[1:] = tokens[1:] != tokens[:-1]
-        if token == tokens[0]:
-            first[0] = False
-        at = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
-        pivots = np.where(at >= 0, ids[np.maximum(at, 0)], pivot)
-        token, pivot = tokens[-1], pivots[-1]
-        rest = ~first
-        yield pa.RecordBatch.from_arrays([pa.array(x[rest]) for x in (tokens, ids, pivots)], names=["token", "_id", "pivot"])
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = (_stack(batch.column(2)) == _stack(batch.column(3))).sum(1) >= MATCHES if batch.num_rows else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-
-def _between(signatures: np.ndarray, labels: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens shared, and places, of the pairs of a token's documents in different components that share enough; of two blocks only pairs across."""
-    split = home.min() != home.max()
-    if len(labels) <= 64:
-        shared = (signatures[:, None, :] == signatures[None, :, :]).sum(2)
-        ok = (shared >= MATCHES) & (labels[:, None] < labels[None, :])
-        if split:
-            ok &= home[:, None] != home[None, :]
-        i, j = np.nonzero(ok)
-        return shared[i, j], i, j
-    names, sizes = np.unique(labels, return_counts=True)
-    # Of two components one is not the largest: its documents look for partners on either side.
-    largest = names[sizes.argmax()]
-    found = [(np.zeros(0, np.int64),) * 3]
-    for i in np.flatnonzero(labels != largest):
-        other = labels != labels[i]
-        if split:
-            other &= home != home[i]
-        j = np.flatnonzero(other)
-        shared = (signatures[j] == signatures[i]).sum(1)
-        enough = shared >= MATCHES
-        if enough.any():
-            found.append((shared[enough], np.full(int(enough.sum()), i), j[enough]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-
-def _across(limit: int):
-    """Of the documents of tokens, the pairs between components that share enough tokens: the best `limit` of each component and token.
-
-    A row with held over 0 has in `a` a token of which more pairs wait for the next round.
-    """
-
-    def propose(group: pa.Table) -> pa.Table:
-        column = {c: group.column(c).to_numpy() for c in ("token", "i", "j", "_id", "label", "home")}
-        signatures = np.frombuffer(b"".join(group.column("_short").to_pylist()), np.uint8).reshape(-1, SIZE)
-        order = np.lexsort((column["j"], column["i"], column["token"]))
-        column, signatures = {c: x[order] for c, x in column.items()}, signatures[order]
-        change = np.zeros(len(order), bool)
-        change[0] = True
-        for c in ("token", "i", "j"):
-            change[1:] |= column[c][1:] != column[c][:-1]
-        firsts = np.flatnonzero(change)
-        pairs, waiting = [], []
-        for lo, hi in zip(firsts, np.append(firsts[1:], len(order)), strict=True):
-            labels, ids = column["label"][lo:hi], column["_id"][lo:hi]
-            shared, i, j = _between(signatures[lo:hi], labels, column["home"][lo:hi])
-            if not len(shared):
-                continue
-            keep = np.zeros(len(shared), bool)
-            for side in (i, j):
-                best = np.lexsort((-shared, labels[side]))
-                owner = labels[side][best]
-                start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                rank = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
-                keep[best[rank < limit]] = True
-            pairs.append(np.stack([ids[i[keep]], ids[j[keep]]]))
-            if not keep.all():
-                waiting.append(column["token"][lo])
-        ends = np.concatenate(pairs, 1) if pairs else np.zeros((2, 0), np.int64)
-        ends = np.unique(np.sort(ends, 0), axis=1)
-        held = np.array(waiting, np.int64)
-        return pa.table({
-            "a": pa.array(np.append(ends[0], held)), "b": pa.array(np.append(ends[1], np.full(len(held), -1))), "held": pa.array(np.append(np.zeros(ends.shape[1], np.int64), np.ones(len(held), np.int64))),
-        })
-
-    return propose
+        if held is not None:
+            tokens, ids = np.append(held[0], tokens), np.append(held[1], ids)
+        same = tokens[1:] == tokens[:-1]
+        keep = np.r_[open_, same] | np.r_[same, False]
+        # The last row waits for the next batch, which tells whether its token goes on.
+        held, open_ = (tokens[-1:], ids[-1:]), bool(same[-1]) if len(same) else open_
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep[:-1]]) for x in (tokens, ids)], names=["group", "node"])
+    if open_:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["group", "node"])
 
 
 def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One byte of each value of a signature: as many matches or more, a quarter of the size."""
     for batch in batches:
         short = (_stack(batch.column(1)) & 0xFF).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in short], pa.binary())], names=["_id", "_short"])
-
-
-def _bit(ids: np.ndarray) -> np.ndarray:
-    return (textvec.mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-class _Confirm:
-    """Links among candidate pairs, by their full sets."""
-
-    def __init__(self, rows: DataFrame, words: int, percent: int):
-        self.rows, self.words, self.percent = rows, words, percent
-
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        spark, words, percent = self.rows.sparkSession, self.words, self.percent
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-
-        def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = np.zeros(1 << FILTER_BITS, bool)
-            for batch in batches:
-                seen[_bit(batch.column(0).to_numpy())] = True
-            words64 = np.packbits(seen).view(np.int64)
-            used = np.flatnonzero(words64)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words64[used])], names=["place", "bits"])
-
-        # A bitmap of fixed size keeps most documents that are in no pair out of the join; it never leaves out one that is.
-        got = ids.mapInArrow(bits, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-        bitmap = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-        bitmap[got.column("place").to_numpy()] = got.column("bits").to_numpy()
-        shared = spark.sparkContext.broadcast(bitmap)
-
-        def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            wanted = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
-            for batch in batches:
-                batch = batch.filter(pa.array(wanted[_bit(batch.column(0).to_numpy())]))
-                for part in textvec.slices([batch], "_text"):
-                    sets = textvec.shingle_sets(*textvec.text_buffers(part.column("_text")), words)
-                    yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_id", "_set"])
-
-        sets = cut(self.rows.where("_id is not null").mapInArrow(full_sets, "_id long, _set binary"))
-
-        def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = []
-                for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                    x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                    short, long = (x, y) if len(x) < len(y) else (y, x)
-                    if not len(short) or 100 * len(short) < percent * len(long):
-                        keep.append(False)
-                        continue
-                    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                    both = int((long[at] == short).sum())
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        joined = pairs.join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("y")), "b").join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("x")), "a")
-        out = cut(joined.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"))
-        drop(sets)
-        return out
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in short], pa.binary())], names=["node", "_load"])
+
+
+def forest(parts: np.ndarray, lead: int, partners: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs that connect all rows linked with each other; `partners(i)` marks the rows linked with row i.
+
+    `parts` numbers what is connected so far and is kept up to date. A row in
+    the part of `lead` is skipped: its links outward are found from outside.
+    """
+    pairs = []
+    for i in (lead, *range(len(parts))):
+        if parts[i] == parts[lead] and (i != lead or pairs):
+            continue
+        hits = np.flatnonzero(partners(i) & (parts != parts[i]))
+        if len(hits):
+            joined, first = np.unique(parts[hits], return_index=True)
+            pairs += [(i, int(j)) for j in hits[first]]
+            parts[np.isin(parts, joined)] = parts[i]
+    return pairs
+
+
+def merge_links(parts: np.ndarray, rows: np.ndarray, elements: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """A forest by merging inverted lists: `rows` and `elements` are pairs (row, element), sorted by row, elements from 0.
+
+    `linked(i, counts)` says from the number of elements that every row shares
+    with row i which rows are linked with it.
+    """
+    n = len(parts)
+    bounds = np.searchsorted(rows, np.arange(n + 1))
+    order = np.argsort(elements, kind="stable")
+    lists = rows[order]
+    begin = np.searchsorted(elements[order], np.arange(int(elements.max()) + 2 if len(elements) else 1))
+    size = np.diff(begin)
+    names, number = np.unique(parts, return_counts=True)
+    main = parts == names[number.argmax()] if number.max() > 1 else np.ones(n, bool)
+    # The row of the main part whose elements are the commonest leads: most of a family is linked with it.
+    common = np.bincount(rows, size[elements], n) / np.maximum(np.diff(bounds), 1) if len(elements) else np.zeros(n)
+
+    def partners(i: int) -> np.ndarray:
+        own = elements[bounds[i] : bounds[i + 1]]
+        many = size[own]
+        places = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        return linked(i, np.bincount(lists[places], minlength=n))
+
+    return forest(parts, int(np.where(main, common, -1).argmax()), partners)
+
+
+def _groups(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The rows sorted by group, and the bounds of the groups."""
+    group = table.column("group").to_numpy()
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    return table.take(pa.array(order)), np.append(np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group))
+
+
+def _edges(pairs: np.ndarray, nodes: np.ndarray) -> pa.Table:
+    ends = np.unique(np.sort(nodes[pairs.reshape(-1, 2)], 1), axis=0)
+    return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+
+def _alike(table: pa.Table) -> pa.Table:
+    """Groups of signatures: a forest of the pairs that share MATCHES tokens."""
+    table, bounds = _groups(table)
+    nodes, parts = table.column("node").to_numpy(), table.column("label").to_numpy().copy()
+    tokens = np.frombuffer(b"".join(table.column("_load").to_pylist()), np.uint8).reshape(-1, SIZE)
+    first = np.repeat(bounds[:-1], np.diff(bounds))
+    near = (tokens == tokens[first]).sum(1) >= MATCHES
+    found = np.flatnonzero(near & (parts != parts[first]))
+    pairs = [np.stack([found, first[found]], 1)]
+    parts[near] = parts[first[near]]
+    several = np.add.reduceat(~near, bounds[:-1]) * (np.diff(bounds) > 2)
+    for lo, hi in zip(bounds[:-1][several > 0], bounds[1:][several > 0], strict=True):
+        own = parts[lo:hi]
+        if hi - lo <= 48:
+            enough = (tokens[lo:hi, None] == tokens[None, lo:hi]).sum(2) >= MATCHES
+            links = forest(own, 0, enough.__getitem__)
+        else:
+            elements = (tokens[lo:hi] + np.arange(SIZE) * 256).ravel()
+            links = merge_links(own, np.repeat(np.arange(hi - lo), SIZE), elements, lambda i, counts: counts >= MATCHES)
+        pairs.append(np.array(links, np.int64).reshape(-1, 2) + lo)
+    return _edges(np.concatenate(pairs), nodes)
+
+
+def _same(words: int, percent: int):
+    def confirm(table: pa.Table) -> pa.Table:
+        """Groups of texts: a forest of the pairs whose sets have the similarity sought."""
+        table, bounds = _groups(table)
+        nodes, parts = table.column("node").to_numpy(), table.column("label").to_numpy().copy()
+        sets = textvec.shingle_sets(*textvec.text_buffers(table.column("_load")), words)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        pairs = []
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            own, size = parts[lo:hi], sizes[lo:hi]
+            if hi - lo == 2:
+                short, long = sorted(sets[lo:hi], key=len)
+                if own[0] != own[1] and len(short) and 100 * len(short) >= percent * len(long):
+                    both = int((long[np.minimum(np.searchsorted(long, short), len(long) - 1)] == short).sum())
+                    if 100 * both >= percent * (len(short) + len(long) - both):
+                        pairs.append((lo, lo + 1))
+                continue
+            _, elements, times = np.unique(np.concatenate(sets[lo:hi]), return_inverse=True, return_counts=True)
+            shared = (times > 1)[elements]  # a shingle of one text counts in the sizes only
+            number = np.cumsum(times > 1) - 1
+            rows = np.repeat(np.arange(hi - lo), size)[shared]
+            links = merge_links(own, rows, number[elements[shared]], lambda i, both, size=size: 100 * both >= np.maximum(percent * (size[i] + size - both), 1))
+            pairs += [(lo + i, lo + j) for i, j in links]
+        return _edges(np.array(pairs, np.int64), nodes)
+
+    return confirm
+
+
+def _forest(rows: DataFrame, loads: DataFrame, task: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """Links (a, b) that connect all nodes which `task` links inside a group.
+
+    `rows` has group, node and bytes (of the node's load), `loads` node and
+    _load. Small groups share tasks. A large group is dealt in blocks, each of
+    which also gets the same few pivots; then the largest part of the group so
+    connected has nothing to find in itself, and only blocks of the other nodes
+    meet the blocks of all.
+    """
+    sizes = cut(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")))
+    total = sizes.agg(F.sum("n"), F.sum("bytes")).first()
+    tasks = max(16, (total[0] or 0) // TASK_ROWS, (total[1] or 0) // TASK_BYTES)
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_ROWS, size / BLOCK_BYTES)).cast("long")
+    compare = lambda dealt: cut(dealt.join(loads, "node").groupBy("k").applyInArrow(task, "a long, b long"))
+    large = cut(sizes.withColumn("blocks", blocks(F.col("n"), F.col("bytes"))).where("blocks > 1").select("group", "n", "blocks"))
+    drop(sizes)
+    small = F.pmod(F.xxhash64("group"), F.lit(tasks))
+    if not large.limit(1).count():
+        drop(large)
+        return compare(rows.select("group", "node", F.col("node").alias("label"), small.alias("k")))
+    dealt = skewed_join(rows.select("group", "node"), large, "group", "left")
+    pivot = F.pmod(F.xxhash64("node", F.lit(1)), F.col("n")) < PIVOTS
+    home = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long"))).when(pivot, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.withColumn("home", F.explode(home.otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("blocks"))))))
+    links = compare(dealt.select("group", "node", F.col("node").alias("label"), F.when(F.col("home") < 0, small).otherwise(F.xxhash64("group", "home")).alias("k")))
+
+    known = component_labels(links).withColumnRenamed("id", "node")
+    split = skewed_join(rows, large.select("group"), "group").join(known, "node", "left")
+    split = cut(split.select("group", "node", "bytes", F.coalesce("label", "node").alias("label")))
+    plan = split.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    plan = plan.groupBy("group").agg(F.max(F.struct("n", "label", "bytes")).alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("n > main.n")
+    others = blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes"))
+    plan = cut(plan.select("group", F.col("main.label").alias("main"), blocks(F.col("main.n"), F.col("main.bytes")).alias("mine"), others.alias("others")))
+    in_main = F.col("label") == F.col("main")
+    last = F.col("others") + F.when(in_main, 0).otherwise(F.col("mine")) - 1
+    meet = skewed_join(split.select("group", "node", "label"), plan, "group")
+    meet = meet.withColumn("home", F.when(in_main, F.col("others") + F.pmod(F.xxhash64("node"), F.col("mine"))).otherwise(F.pmod(F.xxhash64("node"), F.col("others"))))
+    meet = meet.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).where("home <> other")
+    more = compare(meet.select("group", "node", "label", F.xxhash64("group", F.least("home", "other"), F.greatest("home", "other")).alias("k")))
+    drop(large, split, plan)
+    return cut(links.union(more))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,73 +302,37 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     is null unless an equal text has an id, and it is not kept. Other columns are
     ignored; no rows give no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_load"))
     sc = docs.sparkSession.sparkContext
-    signed = cut(rows.mapInArrow(_signatures(words), "_id long, n_shingles long, _digest binary, _sig binary"))
-    classes = cut(signed.where("_digest is not null and _id is not null").groupBy("_digest").agg(F.min("_id").alias("_rep")))
-    own = signed.where("_digest is not null").select("_id", "_digest", "_sig")
-    chosen = cut(own.join(classes.withColumnRenamed("_rep", "_id"), ["_id", "_digest"]).select("_id", "_sig").distinct())
+    signed = cut(rows.mapInArrow(_signatures(words), "_id long, _h long, n_shingles long, _digest binary, _sig binary"))
+    full = signed.where("_digest is not null")
+    # A node stands for all rows with one set: their smallest id, and one text of it.
+    nodes = full.where("_id is not null").groupBy("_digest").agg(F.min(F.struct("_id", "_h", "_sig")).alias("r"))
+    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "_digest", "r._id", "r._h", "r._sig"))
 
     counts = np.zeros(1 << SLOT_BITS, np.int64)
-    got = chosen.select("_sig").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most 2**SLOT_BITS rows
+    got = nodes.select("_sig").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most 2**SLOT_BITS rows
     counts[got.column("slot").to_numpy()] = got.column("n").to_numpy()
     threshold = int(4 * counts.mean() + 256)
-    postings = cut(chosen.select("_id", "_sig").mapInArrow(_postings(sc.broadcast(counts), threshold), "hot boolean, token long, _id long, common long"))
-    cool = postings.where("not hot").select("token", "_id", "common").repartition("token").sortWithinPartitions("token", F.desc("common"), "_id").select("token", "_id")
-    hot = postings.where("hot")
-    pivots = cut(hot.groupBy("token").agg(F.max_by("_id", F.struct("common", F.negative("_id"))).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "pivot"))
-    warm = skewed_join(hot.select("token", "_id"), pivots, "token").where("_id <> pivot").select("token", "_id", "pivot")
-    # (token, document, pivot): the first pairs, and for later who shares a token.
-    met = cut(cool.mapInArrow(_to_pivot, "token long, _id long, pivot long").union(warm))
-
-    def candidates(found: DataFrame) -> DataFrame:
-        """Each pair once, with enough tokens in common."""
-        once = cut(found.distinct())
-        left = chosen.select(F.col("_id").alias("a"), F.col("_sig").alias("s"))
-        right = chosen.select(F.col("_id").alias("b"), F.col("_sig").alias("t"))
-        out = cut(once.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_alike, "a long, b long"))
-        drop(once)
-        return out
-
-    confirm = _Confirm(rows, words, percent)
-    links = confirm(candidates(met.where("_id <> pivot").select(F.least("_id", "pivot").alias("a"), F.greatest("_id", "pivot").alias("b"))))
+    postings = cut(nodes.select("node", "_sig").mapInArrow(_postings(sc.broadcast(counts), threshold), "hot boolean, group long, node long"))
+    cool = postings.where("not hot").select("group", "node").repartition("group").sortWithinPartitions("group").mapInArrow(_not_alone, "group long, node long")
+    posted = cut(cool.union(postings.where("hot").select("group", "node")).withColumn("bytes", F.lit(SIZE).cast("long")))
+    short = cut(nodes.select("node", "_sig").mapInArrow(_shorten, "node long, _load binary"))
+    families = component_labels(_forest(posted, short, _alike)).select(F.col("label").alias("group"), F.col("id").alias("node"))
+    drop(postings, posted, short)
+
+    own = nodes.select("node", "_id", "_h").join(families, "node")
+    texts = cut(rows.join(own, ["_id", "_h"]).dropDuplicates(["node"]).select("group", "node", "_load"))
+    links = _forest(texts.select("group", "node", F.octet_length("_load").cast("long").alias("bytes")), texts.select("node", "_load"), _same(words, percent))
+    # Nodes of one id are one document.
+    lead = nodes.groupBy("_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+    links = links.union(nodes.select("_id", F.col("node").alias("b")).join(lead.select("_id", "a"), "_id").where("a < b").select("a", "b"))
     labels = component_labels(links)
-    # Two documents of a token have met each other; of three or more, those besides the pivot have not.
-    several = cut(met.groupBy("token", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "pivot"))
-    members = skewed_join(met.select("token", "_id"), several.select("token"), "token").union(several.select("token", F.col("pivot").alias("_id")))
-    short = cut(chosen.mapInArrow(_shorten, "_id long, _short binary"))
-    open_tokens = cut(members)
-    drop(met, postings)
-    parts = max(64, open_tokens.count() // TASK_ROWS)
-    for limit in ROUNDS:
-        labelled = cut(open_tokens.join(labels.withColumnRenamed("id", "_id"), "_id", "left").select("token", "_id", F.coalesce("label", "_id").alias("label")))
-        apart = cut(
-            labelled.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        )
-        if not apart.limit(1).count():
-            break
-        left = skewed_join(labelled, apart, "token").withColumn("home", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
-        left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        # Many small tokens make one group; each pair of blocks of a large one is a group by itself.
-        key = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("token"), F.lit(parts))).otherwise(F.xxhash64("token", "i", "j"))
-        dealt = left.withColumn("i", F.least("home", "other")).withColumn("j", F.greatest("home", "other")).withColumn("k", key)
-        dealt = dealt.select("k", "token", "i", "j", "_id", "label", "home").join(short, "_id")
-        proposed = cut(dealt.groupBy("k").applyInArrow(_across(limit), "a long, b long, held long"))
-        waiting = proposed.where("held > 0").select(F.col("a").alias("token")).distinct()
-        more = waiting.limit(1).count()
-        asked = proposed.where("held = 0").select("a", "b")
-        new = confirm(candidates(asked)) if asked.limit(1).count() else None
-        if new is not None and new.limit(1).count():
-            links = cut(links.union(new))
-            labels = component_labels(links)
-        if not more:
-            break
-        open_tokens = cut(open_tokens.join(waiting, "token", "left_semi"))
-        drop(labelled, proposed)
-    drop(open_tokens, short)
-
-    known = cut(classes.join(labels.withColumnRenamed("id", "_rep"), "_rep", "left").select("_digest", F.coalesce("label", "_rep").alias("_component")))
-    said = skewed_join(signed.where("_digest is not null").select("_id", "n_shingles", "_digest"), known, "_digest", "left").select("_id", "n_shingles", "_component")
+    drop(texts)
+    placed = cut(nodes.select("node", "_digest", "_id").join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    known = cut(skewed_join(placed.select("_digest", "label"), placed.groupBy("label").agg(F.min("_id").alias("_component")), "label").select("_digest", "_component"))
+    said = skewed_join(full.select("_id", "n_shingles", "_digest"), known, "_digest", "left").select("_id", "n_shingles", "_component")
     said = said.union(signed.where("_digest is null").select("_id", "n_shingles", F.col("_id").alias("_component")))
     return said.select(F.col("_id").alias(id_col), "n_shingles", F.col("_component").alias("component_id"), F.coalesce(F.col("_id") == F.col("_component"), F.lit(False)).alias("kept"))
 

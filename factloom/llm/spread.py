@@ -58,16 +58,16 @@ def _delete_all() -> None:
             return
 
 
-def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join on `key`, unique in `right`, where a few keys may hold most rows of `left`.
+def hot_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """The keys that hold over 1/HOT_SHARE of the rows, fewer than HOT_SHARE by definition; None where there are none."""
+    found = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * HOT_SHARE > max(rows.count(), HOT_SHARE * HOT_SALTS)).select(key).toArrow()
+    return F.broadcast(rows.sparkSession.createDataFrame(found).withColumn("_hot", F.lit(True))) if found.num_rows else None
 
-    The hot keys, fewer than HOT_SHARE by their definition, are found by a
-    partial count. Their right rows are repeated over HOT_SALTS salts and the
-    left rows of hot keys dealt over these salts; the other rows use salt 0.
-    """
-    rows = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = rows.agg(F.sum("_rows")).first()[0] or 0
-    hot = F.broadcast(rows.where(F.col("_rows") * HOT_SHARE > max(total, HOT_SHARE * HOT_SALTS)).select(key, F.lit(True).alias("_hot")))
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Join on `key`, unique in `right`: right rows of hot keys are repeated over HOT_SALTS salts, their left rows dealt over these."""
+    if hot is None:
+        return left.join(right, key, how)
     salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SALTS))).otherwise(F.lit(0)).cast("int")
     dealt = left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
@@ -75,20 +75,27 @@ def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return dealt.join(spread, [key, "_salt"], how).drop("_salt")
 
 
+def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on `key`, unique in `right`, where a few keys may hold most rows of `left`."""
+    return salted_join(left, right, key, hot_keys(left.select(key), key), how)
+
+
 def component_labels(links: DataFrame) -> DataFrame:
     """(id, label) for every id in the links (a, b): the smallest id reachable from it.
 
     Every round takes the least label among neighbours, then follows labels to
-    their own labels, so long chains shorten by halves. Rounds go through the
-    shared folder; nothing is collected but whether a label changed.
+    their own labels, so long chains shorten by halves. An end of very many
+    links and a label of very many ids are dealt over salts. Rounds go through
+    the shared folder; nothing is collected but whether a label changed.
     """
     both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
+    hubs = hot_keys(both.select("a"), "a")
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
     while True:
-        seen = both.join(labels.withColumnRenamed("id", "a"), "a").groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near"))
-        step = cut(labels.join(seen, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        near = salted_join(both, labels.withColumnRenamed("id", "a"), "a", hubs).groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near"))
+        step = cut(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        new = cut(step.join(jump, "label").select("id", F.least("label", "next").alias("label"), "old"))
+        new = cut(skewed_join(step, jump, "label").select("id", F.least("label", "next").alias("label"), "old"))
         changed = new.where("label <> old").limit(1).count()
         drop(step, labels)
         labels = new

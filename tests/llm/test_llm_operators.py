@@ -90,6 +90,28 @@ def test_near_dedup_joins_a_large_group_through_pivots(spark, monkeypatch):
     assert found == brute_components(texts, 2)
 
 
+def test_near_dedup_of_groups_dealt_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 24)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(100)]
+    texts = []
+    for i in range(260):  # one family whose members lie on both sides of the threshold, many by themselves
+        own = list(base)
+        for _ in range(rng.choice((2, 5, 9, 14))):
+            own[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        texts.append((i, " ".join(own)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_dedup(docs(spark, texts), 2).collect()}
+    assert found == brute_components(texts, 2)
+    assert 20 < len({c for _, c in found.values()}) < 200
+
+
+def test_near_dedup_of_one_id_with_several_texts(spark):
+    texts = [(1, "a b c d e f g h"), (1, "k l m n o p q"), (2, "k l m n o p q"), (3, "A B c d e f g h"), (3, "A B c d e f g h"), (4, "z")]
+    found = {(r.doc_id, r.component_id) for r in near_dedup.near_dedup(docs(spark, texts), 2).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_near_dedup_hard_rows(spark):
     found = near_dedup.near_dedup(docs(spark, HARD)).collect()
     assert len(found) == len(HARD)
