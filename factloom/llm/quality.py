@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import operator
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,45 +27,49 @@ _HASH_SPAN = 1 << 30
 FUNCTION_WORDS = frozenset(
     "the of and to in is for that on with as are by at from be this it a an or was which le la les de des du un une et en est que qui pour dans sur par au aux avec ce pas plus der die das und ist nicht ein eine zu den dem mit von auf für sich des im auch el los las y es no por con para una se del al su lo como".split()
 )
-_SYMBOLS = str.maketrans("", "", "#$%&*<>{}[]~^|\\=_@+")
+_SYMBOLS = "#$%&*<>{}[]~^|\\=_@+"
+_PUNCTUATION = ".,;:!?\"'()"
+_ODD_END = re.compile(r"[^\w\s]{2,}(?!\S)")
+_BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
+
+#: What the labellers look at, in the order of their votes. Each kind of junk that a crawl has (symbol noise, shouting,
+#: torn tables and menus, repeated text, texts without grammar) is in sight of several of them, which do not measure
+#: the same, so that their agreement carries the signal.
+LABELLED = ("symbols", "letters", "word ends", "bare marks", "marks", "capitals", "lower case", "function words", "repeats", "commonest word", "compression", "word pairs")
+LABELLERS = len(LABELLED)
+
+
+def _vote(value: float, good: float, bad: float) -> int:
+    """The vote on a value that is `good` on one side, `bad` on the other side, and unclear between."""
+    if good < bad:
+        return GOOD if value < good else BAD if value > bad else ABSTAIN
+    return GOOD if value > good else BAD if value < bad else ABSTAIN
 
 
 def labels(text: str) -> list[int]:
-    """The votes of the labellers on a text."""
+    """The votes of the labellers on a text; a short text says nothing of what needs many words."""
     words = text.split()
-    n, size = len(words), len(text)
+    n = len(words)
     if not n:
-        return [ABSTAIN] * (LABELLERS - 1) + [BAD]
-    solid = size - text.count(" ")
-    symbols = (size - len(text.translate(_SYMBOLS))) / max(1, solid)
-    upper = sum(map(str.isupper, words)) / n
-    low = [w.strip(".,;:!?\"'()").lower() for w in words]
-    function = sum(w in FUNCTION_WORDS for w in low) / n
-    repeats = sum(a == b for a, b in zip(low, low[1:])) / n  # noqa: B905
-    variety = len(set(low[:])) / n
-    lines = [x for x in text.split("\n") if x.strip()]
-    double = 1 - len(set(lines)) / max(1, len(lines))
-    mean = solid / n
-    bars = words.count("|") / n
+        return [BAD] * LABELLERS
+    low = [w.strip(_PUNCTUATION) for w in text.lower().split()]
+    some, many = n >= 4, n >= 12
     return [
-        BAD if symbols > 0.08 else GOOD if symbols < 0.01 else ABSTAIN,
-        BAD if bars > 0.05 else ABSTAIN,
-        (BAD if upper > 0.5 else GOOD if upper < 0.2 else ABSTAIN) if n >= 5 else ABSTAIN,
-        (GOOD if function > 0.12 else BAD if function < 0.03 else ABSTAIN) if n >= 8 else ABSTAIN,
-        (BAD if repeats > 0.1 or (n >= 40 and variety < 0.15) else GOOD if repeats < 0.02 else ABSTAIN) if n >= 8 else ABSTAIN,
-        (BAD if double > 0.3 else GOOD if double < 0.05 else ABSTAIN) if len(lines) >= 4 else ABSTAIN,
-        (BAD if mean > 9 or mean < 3 else GOOD if 4 < mean < 7.5 else ABSTAIN) if n >= 8 else ABSTAIN,
+        _vote(sum(map(text.count, _SYMBOLS)) / sum(map(len, words)), 0.01, 0.06),
+        _vote(sum(map(str.isalpha, low)) / n, 0.9, 0.75) if some else ABSTAIN,
+        _vote(len(_ODD_END.findall(text)) / n, 0.02, 0.15),
+        _vote(len(_BARE.findall(text)) / n, 0.01, 0.08),
+        _vote((text.count("!") + text.count("?") + text.count("|")) / n, 0.02, 0.2),
+        _vote(sum(map(str.isupper, words)) / n, 0.1, 0.3) if some else ABSTAIN,
+        _vote(sum(map(str.islower, words)) / n, 0.7, 0.5) if some else ABSTAIN,
+        _vote(sum(map(FUNCTION_WORDS.__contains__, low)) / n, 0.12, 0.04) if many else ABSTAIN,
+        _vote(sum(map(operator.eq, low, low[1:])) / n, 0.02, 0.1) if many else ABSTAIN,
+        _vote(max(Counter(low).values()) / n, 0.2, 0.3) if n >= 20 else ABSTAIN,
+        _vote(len(zlib.compress(text.encode(), 1)) / len(text.encode()), 0.3, 0.2) if n >= 40 else ABSTAIN,
+        _vote(len(set(zip(low, low[1:], strict=False))) / n, 0.7, 0.5) if many else ABSTAIN,
     ]
 
 
-LABELLERS = 7
-#: Prior knowledge: how often a labeller at most complains of a good document. Junk is of several kinds, each seen by
-#: one or two labellers; without this the model takes the less frequent kinds for good documents.
-#: Of bad documents so many draw a complaint, more than independent labellers would give: junk is made to one pattern.
-COVERAGE = 0.9
-COMPLAINTS = np.array([0.001, 0.001, 0.001, 0.05, 0.001, 0.02, 0.01])
-
-
 def pattern(votes: list[int]) -> int:
     code = 0
     for v in votes:
@@ -79,56 +87,50 @@ def votes_of(code: int) -> list[int]:
 
 @dataclass
 class LabelModel:
-    """P(good), and for each labeller that votes P(vote | bad), P(vote | good); to abstain says nothing."""
+    """P(good), and for each labeller P(vote | side) of its votes; to abstain says nothing of either side."""
 
     prior: float
-    tables: np.ndarray  # labellers x 2 sides x 3 votes
+    tables: np.ndarray  # labellers x 2 sides x 3 votes, 1 for ABSTAIN
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         said = np.log(self.tables)
         score = np.tile(np.log([1 - self.prior, self.prior]), (len(votes), 1))
-        for k in range(LABELLERS):
+        for k in range(self.tables.shape[0]):
             score += said[k][:, votes[:, k]].T
-        score[:, 0] += np.where((votes == BAD).any(1), 0.0, np.log(1 - COVERAGE))
         return linear.softmax(score)[:, 1]
 
 
-def fit_labels(counts: dict[int, int], rounds: int = 100) -> LabelModel:
+def fit_labels(counts: dict[int, int], rounds: int = 500) -> LabelModel:
     """Expectation-maximisation on how many documents have each pattern of votes, at most 3**LABELLERS patterns.
 
-    Starts from the majority of votes; each labeller is taken to be right more
-    often than not, which tells good from bad.
+    Starts from the share of good votes, which also tells which side is good.
+    Every step estimates the share of good documents and of each labeller's
+    votes on either side, with one vote of each kind added.
     """
     codes = sorted(counts)
     votes = np.array([votes_of(c) for c in codes], np.int64).reshape(-1, LABELLERS)
     number = np.array([counts[c] for c in codes], np.float64)
+    tables = np.ones((LABELLERS, 2, 3))
     if not len(codes):
-        return LabelModel(0.5, np.ones((LABELLERS, 2, 3)))
+        return LabelModel(0.5, tables)
     good, bad = (votes == GOOD).sum(1), (votes == BAD).sum(1)
-    p = np.clip((good + 0.5) / (good + 3 * bad + 1), 0.02, 0.98)  # one complaint weighs more than one nod
-    tables = np.ones((LABELLERS, 2, 3))
-    prior = 0.5
+    p = (good + 1) / (good + bad + 2)
     for _ in range(rounds):
         weight = np.stack([number * (1 - p), number * p])
-        prior = float(np.clip(weight[1].sum() / number.sum(), 0.02, 0.98))
+        sums = weight.sum(1) + 1
         for k in range(LABELLERS):
-            for side in (0, 1):
-                hits = np.bincount(votes[:, k], weight[side], minlength=3)[:2] + 1.0
+            for side in (BAD, GOOD):
+                hits = np.bincount(votes[:, k], weight[side], minlength=3)[:2] + 1
                 tables[k, side, :2] = hits / hits.sum()
-            # right more often than not: a complaint must not speak for good
-            tables[k, 0, BAD] = max(tables[k, 0, BAD], tables[k, 1, BAD])
-            tables[k, 0, GOOD] = 1 - tables[k, 0, BAD]
-            tables[k, 1, BAD] = min(tables[k, 1, BAD], COMPLAINTS[k])
-            tables[k, 1, GOOD] = 1 - tables[k, 1, BAD]
-        new = LabelModel(prior, tables.copy()).posterior(votes)
-        if np.abs(new - p).max() < 1e-6:
-            p = new
+        model = LabelModel(float(sums[1] / sums.sum()), tables.copy())
+        new = model.posterior(votes)
+        moved, p = np.abs(new - p).max(), new
+        if moved < 1e-9:
             break
-        p = new
-    return LabelModel(prior, tables)
+    return model
 
 
-def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         codes = [pattern(labels(x.as_py() or "")) for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64())], names=["key", "code"])
@@ -165,21 +167,19 @@ class Scorer:
 def fit(docs: DataFrame, per_side: int = PER_SIDE, key: str = "doc_id", text_col: str = "text") -> Scorer:
     from factloom.llm.spread import cut, drop
 
-    rows = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    voted = cut(rows.mapInArrow(_vote, "key string, code long"))
-    counts = {r["code"]: r["n"] for r in voted.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.xxhash64(F.col(key).cast("string"), text).alias("key"), text.alias("text"))
+    voted = cut(rows.mapInArrow(_votes, "key long, code long"))
+    counts = {r["code"]: r["n"] for r in voted.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 3**LABELLERS rows
     model = fit_labels(counts)
     codes = sorted(counts)
     posterior = dict(zip(codes, model.posterior(np.array([votes_of(c) for c in codes], np.int64).reshape(-1, LABELLERS)).tolist(), strict=True))
     sides = [sum(counts[c] for c in codes if (posterior[c] >= 0.5) == side) for side in (False, True)]
     limit = [int(min(1.0, per_side / max(1, n)) * _HASH_SPAN) for n in sides]
-    if codes:
-        limits = F.create_map(*[F.lit(x) for c in codes for x in (c, limit[posterior[c] >= 0.5])])
-        chosen = voted.where(F.pmod(F.xxhash64("key"), F.lit(_HASH_SPAN)) < F.element_at(limits, F.col("code"))).select("key", "code")
-        picked = F.broadcast(chosen.dropDuplicates(["key"]))  # about 2 * per_side rows by their choice
-        sample = rows.join(picked, "key").select("code", "text").mapInArrow(_sample, "code long, packed binary").collect()
-    else:
-        sample = []
+    limits = F.broadcast(docs.sparkSession.createDataFrame([(c, limit[posterior[c] >= 0.5]) for c in codes], "code long, most long"))
+    chosen = voted.join(limits, "code").where(F.pmod(F.xxhash64("key"), F.lit(_HASH_SPAN)) < F.col("most")).select("key", "code")
+    picked = F.broadcast(chosen.dropDuplicates(["key"]))  # about 2 * per_side rows by their choice
+    sample = rows.join(picked, "key").dropDuplicates(["key"]).select("code", "text").mapInArrow(_sample, "code long, packed binary").collect()
     drop(voted)
     sample.sort(key=lambda r: (r["packed"], r["code"]))
     vectors = []
