@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.spread import cut
+
 Q = 8
 #: A passage of an item is WINDOW bytes, a shorter item one passage; passages overlap by half.
 WINDOW = 160
@@ -41,8 +43,8 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slot(grams: np.ndarray) -> np.ndarray:
-    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _Q_BITS)).astype(np.int64)
+def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 @dataclass
@@ -92,8 +94,9 @@ class Index:
         self.ranges = [(np.searchsorted(g, self.keys), np.searchsorted(g, self.keys, side="right") - np.searchsorted(g, self.keys)) for g in (self.grams, self.item_grams)]
         self.stretch_edits = int(error_rate * STRETCH)
         self.stretch_needed = max(1, STRETCH - Q + 1 - Q * self.stretch_edits)
-        self.bitmap = np.zeros(1 << _Q_BITS, bool)
-        self.bitmap[_slot(self.grams)] = True
+        self.bits = max(_Q_BITS, (8 * len(self.keys)).bit_length())
+        self.bitmap = np.zeros(1 << self.bits, bool)
+        self.bitmap[_slot(self.grams, self.bits)] = True
         self.needed = np.array([p.needed for p in self.passages], np.int64)
         self.span = max((len(p.data) + p.edits for p in self.passages), default=0)
         # Passages of like length: the longest stretch that one can cover, and the fewest q-grams shared.
@@ -109,7 +112,7 @@ class Index:
     def dense(self, data: np.ndarray) -> list[tuple[int, int]]:
         """Stretches that can hold a match: those where as many q-grams of the index stand together as some passage needs."""
         grams = _grams(data)
-        hits = self.bitmap[_slot(grams)] if len(grams) else np.zeros(0, bool)
+        hits = self.bitmap[_slot(grams, self.bits)] if len(grams) else np.zeros(0, bool)
         total = np.concatenate([[0], np.cumsum(hits, dtype=np.int64)])
         at = np.flatnonzero(hits)
         so_far = np.arange(len(at))
@@ -168,7 +171,7 @@ class Index:
     def lookup(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where q-grams of the index stand, and which."""
         grams = _grams(data)
-        at = np.flatnonzero(self.bitmap[_slot(grams)]) if len(grams) else np.zeros(0, np.int64)
+        at = np.flatnonzero(self.bitmap[_slot(grams, self.bits)]) if len(grams) else np.zeros(0, np.int64)
         key = np.minimum(np.searchsorted(self.keys, grams[at]), max(0, len(self.keys) - 1))
         same = self.keys[key] == grams[at]
         return at[same], key[same]
@@ -354,60 +357,32 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 
 #: Items beyond this many bytes of text are searched in blocks of so many.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def from_table(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of at most BLOCK_BYTES of text, read one block at a time."""
-    block, size = [], 0
+    block, size, any_ = [], 0, False
     for row in items.select(id_col, text_col).where(F.col(text_col).isNotNull()).toLocalIterator():
         block.append((row[0], row[1]))
-        size += len(row[1])
+        size += len(row[1].encode())
         if size >= BLOCK_BYTES:
             yield block
-            block, size = [], 0
-    yield block
+            block, size, any_ = [], 0, True
+    if block or not any_:
+        yield block
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document, item and best passage found: doc_id, item_id, start, end, edits, kept (false)."""
-    parts = [find_benchmark(docs, block).where(F.size("matches") > 0) for block in from_table(benchmark)]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    blocks = from_table(benchmark)
+    found, more = find_benchmark(docs, next(blocks)).where(F.size("matches") > 0), next(blocks, None)
+    while more is not None:  # one block's index at a time
+        found = cut(found)
+        found, more = found.unionByName(cut(find_benchmark(docs, more).where(F.size("matches") > 0))), next(blocks, None)
     best = F.inline(F.array_distinct(F.transform("matches", lambda m: F.struct(m["item_id"].alias("item_id"), m["passage_start"].alias("passage_start"), m["start"].alias("start"), m["end"].alias("end"), m["edits"].alias("edits")))))
     return found.select("doc_id", best).withColumn("kept", F.lit(False))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-def brute_force(text: str, items: list[tuple[int, str]], window: int = WINDOW, error_rate: float = ERROR_RATE) -> set[int]:
-    """Items with a passage or stretch that occurs within the edit budget, by full alignment, for tests."""
-    body = normalise(text)
-    data, out = np.frombuffer(body.encode(), np.uint8), set()
-    steps = np.arange(len(data) + 1, dtype=np.int32)
-
-    def occurs(patterns: np.ndarray, edits: int) -> bool:
-        row = np.zeros((len(patterns), len(data) + 1), np.int32)
-        for i in range(patterns.shape[1]):
-            new = np.minimum(row[:, :-1] + (data != patterns[:, i : i + 1]), row[:, 1:] + 1)
-            new = np.hstack([np.full((len(patterns), 1), i + 1, np.int32), new])
-            row = np.minimum.accumulate(new - steps, axis=1) + steps
-        return bool(row.min() <= edits)
-
-    for item, own in items:
-        own = normalise(own or "")
-        part = np.frombuffer(own.encode(), np.uint8)
-        if len(part) < LEAST:
-            found = bool(own) and f" {own} " in f" {body} "
-        else:
-            starts = range(0, max(1, len(part) - window + 1), max(1, window // 2)) if len(part) > window else [0]
-            wholes = np.stack([part[s : s + window] for s in {*starts, max(0, len(part) - window)}])
-            found = occurs(wholes, int(error_rate * wholes.shape[1]))
-            if not found and len(part) > STRETCH:
-                found = occurs(np.lib.stride_tricks.sliding_window_view(part, STRETCH), int(error_rate * STRETCH))
-        if found:
-            out.add(item)
-    return out
