@@ -156,13 +156,13 @@ def _encoders(folder: str):
     """The tokenizer, and the same vocabulary as ranks, which gives the same ids several times as fast."""
     import base64
 
+    import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
     with open(f"{folder}/{RANKS}", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    return Tokenizer.from_file(f"{folder}/{VOCABULARY}"), tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return Tokenizer.from_file(f"{folder}/{VOCABULARY}"), tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_ids(text: str, folder: str) -> np.ndarray:
@@ -188,16 +188,16 @@ def default_folder() -> str:
     return os.path.dirname(public_tokenizers.path(VOCABULARY))
 
 
-def pieces(docs: DataFrame, folder: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, folder: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents as pieces of at most `capacity` ids, with their rank among the pieces of their length in this partition."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), {}
+        part, seen, place = TaskContext.get().partitionId(), {}, folder or default_folder()  # where this worker has the files
         for batch in batches:
             rows: list[list] = [[] for _ in range(7)]
             for i, text in enumerate(batch.column(1)):
-                ids = token_ids(text.as_py() or "", folder)
+                ids = token_ids(text.as_py() or "", place)
                 start, number = 0, 0
                 stop = (len(ids) - 1) % capacity + 1
                 while start < len(ids):
@@ -222,14 +222,15 @@ def pack(docs: DataFrame, folder: str | None = None, capacity: int = CAPACITY, i
     texts are the end id alone. Repeated rows are packed each by themselves;
     null ids are kept; no rows give no rows; other columns are ignored.
     """
-    made = cut(pieces(docs, folder or default_folder(), capacity, id_col, text_col))
+    made = cut(pieces(docs, folder, capacity, id_col, text_col))
     parts = cut(made.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n")))
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     plan = Plan(counts, capacity)
     places = made.sparkSession.sparkContext.broadcast(plan.places())  # its size depends on the capacity alone
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(parts.select("_part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")))
-    ranked = made.join(starts, ["_part", "length"]).select(id_col, "piece", "start", "length", "ids_crc32", (F.col("_before") + F.col("_rank")).alias("_rank"))
+    # One row for each partition and length grows with the input, so it is not left to be broadcast.
+    ranked = made.join(starts.hint("shuffle_merge"), ["_part", "length"]).select(id_col, "piece", "start", "length", "ids_crc32", (F.col("_before") + F.col("_rank")).alias("_rank"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
