@@ -86,7 +86,7 @@ def table_counts(found: DataFrame, keys: list[str], ceiling: int = 10_000) -> Da
 MENTIONS = {
     "hgvs_protein": (r"\bp\.\(?[A-Z][a-z]{2}\d{1,5}(?:[A-Z][a-z]{2}|\*|=|fs\S*|del|dup)", 0.95),
     "coding": (r"\bc\.\d+(?:[+\-]\d+)?(?:_\d+(?:[+\-]\d+)?)?(?:[ACGT]>[ACGT]|del[ACGT]*|dup[ACGT]*|ins[ACGT]+)", 0.95),
-    "three_letter": (r"\b(?:Ala|Arg|Asn|Asp|Cys|Gln|Glu|Gly|His|Ile|Leu|Lys|Met|Phe|Pro|Ser|Thr|Trp|Tyr|Val)\d{1,5}(?:Ala|Arg|Asn|Asp|Cys|Gln|Glu|Gly|His|Ile|Leu|Lys|Met|Phe|Pro|Ser|Thr|Trp|Tyr|Val|Ter|fs)", 0.85),
+    "three_letter": (r"(?<!\bp\.)(?<!\bp\.\()\b(?:Ala|Arg|Asn|Asp|Cys|Gln|Glu|Gly|His|Ile|Leu|Lys|Met|Phe|Pro|Ser|Thr|Trp|Tyr|Val)\d{1,5}(?:Ala|Arg|Asn|Asp|Cys|Gln|Glu|Gly|His|Ile|Leu|Lys|Met|Phe|Pro|Ser|Thr|Trp|Tyr|Val|Ter|fs)", 0.85),
     "one_letter": (r"\b[ACDEFGHIKLMNPQRSTVWY]\d{2,4}[ACDEFGHIKLMNPQRSTVWY*X]\b", 0.6),
     "splice": (r"\bIVS\d+[+\-]\d+[ACGT]>[ACGT]", 0.9),
 }

@@ -7,8 +7,7 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
-from factloom.plans import document_queries, guard_queries  # noqa: F401  register their queries
-from factloom.plans import queries as catalogue
+from factloom.plans import catalogue
 from factloom.session import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
