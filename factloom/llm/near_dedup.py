@@ -10,8 +10,9 @@ MATCHES tokens share one of their first SIZE - MATCHES + 1, so only these are
 posted. Documents that a token brings together are compared where its postings
 are: collisions are counted by merging the inverted lists of the group. Skip: a
 document that already is in the group's main component is not looked up again.
-What leaves a task is a forest of links, never all pairs, so rows grow with the
-documents. Trees of this forest are families; no link can leave its family.
+What leaves a task links each document with the least one connected with it, never
+all pairs, so rows grow with the documents. What these links connect are families;
+no link can leave its family.
 
 The full texts of a family then meet in the same way, each text once for a small
 family, and the exact similarity of its pairs is counted on whole sets.
@@ -138,26 +139,21 @@ def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in short], pa.binary())], names=["node", "_load"])
 
 
-def forest(parts: np.ndarray, lead: int, partners: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
-    """Pairs that connect all rows linked with each other; `partners(i)` marks the rows linked with row i.
+def connect(parts: np.ndarray, lead: int, partners: Callable[[int], np.ndarray]) -> None:
+    """Gives all rows linked with each other one number in `parts`; `partners(i)` marks the rows linked with row i.
 
-    `parts` numbers what is connected so far and is kept up to date. A row in
-    the part of `lead` is skipped: its links outward are found from outside.
+    A row in the part of `lead` is skipped: its links outward are found from outside.
     """
-    pairs = []
     for i in (lead, *range(len(parts))):
-        if parts[i] == parts[lead] and (i != lead or pairs):
+        if parts[i] == parts[lead] and i != lead:
             continue
-        hits = np.flatnonzero(partners(i) & (parts != parts[i]))
-        if len(hits):
-            joined, first = np.unique(parts[hits], return_index=True)
-            pairs += [(i, int(j)) for j in hits[first]]
+        joined = np.unique(parts[partners(i) & (parts != parts[i])])
+        if len(joined):
             parts[np.isin(parts, joined)] = parts[i]
-    return pairs
 
 
-def merge_links(parts: np.ndarray, rows: np.ndarray, elements: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """A forest by merging inverted lists: `rows` and `elements` are pairs (row, element), sorted by row, elements from 0.
+def merge_lists(parts: np.ndarray, rows: np.ndarray, elements: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> None:
+    """connect() by merging inverted lists: `rows` and `elements` are pairs (row, element), sorted by row, elements from 0.
 
     `linked(i, counts)` says from the number of elements that every row shares
     with row i which rows are linked with it.
@@ -179,69 +175,76 @@ def merge_links(parts: np.ndarray, rows: np.ndarray, elements: np.ndarray, linke
         places = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
         return linked(i, np.bincount(lists[places], minlength=n))
 
-    return forest(parts, int(np.where(main, common, -1).argmax()), partners)
+    connect(parts, int(np.where(main, common, -1).argmax()), partners)
 
 
 def _groups(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """The rows sorted by group, and the bounds of the groups."""
-    group = table.column("group").to_numpy()
-    order = np.argsort(group, kind="stable")
+    """The rows sorted by group and node, and the bounds of the groups."""
+    group, node = table.column("group").to_numpy(), table.column("node").to_numpy()
+    order = np.lexsort((node, group))
     group = group[order]
     return table.take(pa.array(order)), np.append(np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group))
 
 
-def _edges(pairs: np.ndarray, nodes: np.ndarray) -> pa.Table:
-    ends = np.unique(np.sort(nodes[pairs.reshape(-1, 2)], 1), axis=0)
+def _stars(nodes: np.ndarray, bounds: np.ndarray, before: np.ndarray, after: np.ndarray) -> pa.Table:
+    """Links of what is connected now to its least node; groups that share nodes so say the same links. What was connected before has one."""
+    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+    def least(parts: np.ndarray) -> np.ndarray:
+        order = np.lexsort((nodes, parts, group))
+        new = np.ones(len(order), bool)
+        new[1:] = (parts[order][1:] != parts[order][:-1]) | (group[order][1:] != group[order][:-1])
+        out = np.empty_like(nodes)
+        out[order] = nodes[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+        return out
+
+    own, whole = least(before), least(after)
+    ends = np.unique(np.stack([whole, own], 1)[own != whole], axis=0)
     return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
 
 def _alike(table: pa.Table) -> pa.Table:
-    """Groups of signatures: a forest of the pairs that share MATCHES tokens."""
+    """Groups of signatures: links that connect the pairs that share MATCHES tokens."""
     table, bounds = _groups(table)
-    nodes, parts = table.column("node").to_numpy(), table.column("label").to_numpy().copy()
+    nodes, before = table.column("node").to_numpy(), table.column("label").to_numpy()
     tokens = np.frombuffer(b"".join(table.column("_load").to_pylist()), np.uint8).reshape(-1, SIZE)
-    first = np.repeat(bounds[:-1], np.diff(bounds))
+    first, parts = np.repeat(bounds[:-1], np.diff(bounds)), before.copy()
     near = (tokens == tokens[first]).sum(1) >= MATCHES
-    found = np.flatnonzero(near & (parts != parts[first]))
-    pairs = [np.stack([found, first[found]], 1)]
-    parts[near] = parts[first[near]]
-    several = np.add.reduceat(~near, bounds[:-1]) * (np.diff(bounds) > 2)
-    for lo, hi in zip(bounds[:-1][several > 0], bounds[1:][several > 0], strict=True):
+    parts[near] = parts[first[near]]  # all groups at once; most are settled by it
+    several = np.add.reduceat(~near, bounds[:-1]) * (np.diff(bounds) > 2) > 0
+    for lo, hi in zip(bounds[:-1][several].tolist(), bounds[1:][several].tolist(), strict=True):
         own = parts[lo:hi]
         if hi - lo <= 48:
             enough = (tokens[lo:hi, None] == tokens[None, lo:hi]).sum(2) >= MATCHES
-            links = forest(own, 0, enough.__getitem__)
+            connect(own, 0, enough.__getitem__)
         else:
             elements = (tokens[lo:hi] + np.arange(SIZE) * 256).ravel()
-            links = merge_links(own, np.repeat(np.arange(hi - lo), SIZE), elements, lambda i, counts: counts >= MATCHES)
-        pairs.append(np.array(links, np.int64).reshape(-1, 2) + lo)
-    return _edges(np.concatenate(pairs), nodes)
+            merge_lists(own, np.repeat(np.arange(hi - lo), SIZE), elements, lambda i, counts: counts >= MATCHES)
+    return _stars(nodes, bounds, before, parts)
 
 
 def _same(words: int, percent: int):
     def confirm(table: pa.Table) -> pa.Table:
-        """Groups of texts: a forest of the pairs whose sets have the similarity sought."""
+        """Groups of texts: links that connect the pairs whose sets have the similarity sought."""
         table, bounds = _groups(table)
-        nodes, parts = table.column("node").to_numpy(), table.column("label").to_numpy().copy()
-        sets = textvec.shingle_sets(*textvec.text_buffers(table.column("_load")), words)
+        nodes, before = table.column("node").to_numpy(), table.column("label").to_numpy()
+        sets, parts = textvec.shingle_sets(*textvec.text_buffers(table.column("_load")), words), before.copy()
         sizes = np.array([len(s) for s in sets], np.int64)
-        pairs = []
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             own, size = parts[lo:hi], sizes[lo:hi]
             if hi - lo == 2:
                 short, long = sorted(sets[lo:hi], key=len)
-                if own[0] != own[1] and len(short) and 100 * len(short) >= percent * len(long):
+                if len(short) and 100 * len(short) >= percent * len(long):
                     both = int((long[np.minimum(np.searchsorted(long, short), len(long) - 1)] == short).sum())
                     if 100 * both >= percent * (len(short) + len(long) - both):
-                        pairs.append((lo, lo + 1))
+                        own[1] = own[0]
                 continue
             _, elements, times = np.unique(np.concatenate(sets[lo:hi]), return_inverse=True, return_counts=True)
             shared = (times > 1)[elements]  # a shingle of one text counts in the sizes only
             number = np.cumsum(times > 1) - 1
             rows = np.repeat(np.arange(hi - lo), size)[shared]
-            links = merge_links(own, rows, number[elements[shared]], lambda i, both, size=size: 100 * both >= np.maximum(percent * (size[i] + size - both), 1))
-            pairs += [(lo + i, lo + j) for i, j in links]
-        return _edges(np.array(pairs, np.int64), nodes)
+            merge_lists(own, rows, number[elements[shared]], lambda i, both, size=size: 100 * both >= np.maximum(percent * (size[i] + size - both), 1))
+        return _stars(nodes, bounds, before, parts)
 
     return confirm
 
