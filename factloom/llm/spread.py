@@ -17,9 +17,11 @@ _made: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a local folder only where none is set (local mode, tests)."""
+    """spark.checkpoint.dir of the session; a local folder only in local mode, where none need be set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
