@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def fixed(frame: DataFrame) -> DataFrame:
-    """The rows by way of a table in spark.checkpoint.dir (a local folder only where that is not set)."""
+    """The rows by way of a table in spark.checkpoint.dir (a local folder only in local mode, where that need not be set)."""
     spark = frame.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder}/fixed-{uuid.uuid4().hex}"

@@ -142,7 +142,7 @@ def precision_by_layer_rollup(spark, sf):
     return scoring.precision_by_layer(compared(spark, sf), "supplier")
 
 
-@query(f"WITH {COMPARED_SQL} SELECT supplier, variant, layer FROM compared WHERE in_found AND NOT in_gold AND coalesce(found_carriers, found_affected, found_unaffected) IS NOT NULL AND supplier IN (SELECT supplier FROM compared WHERE in_gold)")
+@query(f"WITH {COMPARED_SQL}, c AS MATERIALIZED (SELECT * FROM compared), s AS MATERIALIZED (SELECT DISTINCT supplier FROM c WHERE in_gold) SELECT supplier, variant, layer FROM c SEMI JOIN s USING (supplier) WHERE in_found AND NOT in_gold AND coalesce(found_carriers, found_affected, found_unaffected) IS NOT NULL")
 def counted_extras(spark, sf):
     return scoring.counted_extras(compared(spark, sf), "supplier").select("supplier", "variant", "layer")
 
