@@ -28,12 +28,15 @@ def similarity(a: str, b: str) -> float:
     """Twice the length of the longest common subsequence over both lengths."""
     if not a or not b:
         return 0.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        left = corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j], left = row[j], corner + 1 if x == y else max(row[j], left), corner + 1 if x == y else max(row[j], left)
-    return 2 * row[-1] / (len(a) + len(b))
+    # The subsequence in bits: a zero in `row` for each place of a where the length grows by one.
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit | row - hit) & full
+    return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
 def numbers_agree(a: str, b: str) -> bool:
@@ -131,15 +134,19 @@ def match(gold: DataFrame, found: DataFrame, paper: str = "paper", variant: str
     """gold_id, found_id, match_type, score; unmatched rows of either side with the other id null.
 
     Both sides have a unique id (gold_id, found_id), which also orders the
-    greedy passes, and no two rows of one side share paper and match key.
+    greedy passes. Of rows of one side with the same paper and match key, the one
+    with the least id takes part; the others are unmatched.
     """
     key = notation.match_key(F.col(variant))
     g = gold.select("gold_id", F.col(paper).alias(paper), F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
     g = fixed(g)  # spellings are costly to make and are read several times
     d = found.select("found_id", F.col(paper).alias(paper), F.col(variant).alias("raw"), key.alias("key"), notation.forms(F.col(variant)).alias("forms"))
     d = fixed(d)
-    exact = g.join(d.select("found_id", paper, "key"), [paper, "key"]).groupBy(paper, "key").agg(F.min("gold_id").alias("gold_id"), F.min("found_id").alias("found_id")).select("gold_id", "found_id", F.lit("exact").alias("match_type"), F.lit(1.0).alias("score"))
-    g_left, d_left = g.join(exact, "gold_id", "left_anti"), d.join(exact, "found_id", "left_anti")
+    first = lambda rows, own: rows.groupBy(paper, "key").agg(F.min(own).alias(own))
+    g_first, d_first = first(g, "gold_id"), first(d, "found_id")
+    exact = g_first.join(d_first, [paper, "key"]).select("gold_id", "found_id", F.lit("exact").alias("match_type"), F.lit(1.0).alias("score"))
+    left = lambda rows, mine, other, own: rows.join(mine.join(other, [paper, "key"], "left_anti").select(own), own, "left_semi")
+    g_left, d_left = left(g, g_first, d_first, "gold_id"), left(d, d_first, g_first, "found_id")
 
     def per_paper(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_assign(left, right, threshold), columns=["gold_id", "found_id", "match_type", "score"])

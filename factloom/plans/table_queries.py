@@ -101,8 +101,9 @@ def made_doc_tables(spark, sf):
     return found.join(counted, ["doc", "table_no"]).select("doc", "table_no", F.array_join("header", ";").alias("header"), F.size("rows").alias("n_rows"), "total")
 
 
-@query(f"WITH p AS ({PARTS_SQL}) SELECT doc, short AS normalized, count(*) AS n FROM p GROUP BY 1, 2")
+@query(f"WITH p AS ({PARTS_SQL}) SELECT doc, short AS normalized, CAST(sum(CASE WHEN change LIKE 'p.%' THEN 2 ELSE 1 END) AS BIGINT) AS n FROM p GROUP BY 1, 2")
 def made_mentions(spark, sf):
+    """n counts the hits of all patterns; p.Ala1Val is one of two."""
     line = F.concat(F.lit("We saw "), F.col("change"), F.lit(" in one family."))
     return documents.mentions(_written(parts(spark, sf), line, ""), "doc").select("doc", "normalized", "n")
 
