@@ -60,10 +60,11 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, ke
     """Learn from the rows where `learnable` holds and text and lang are not null.
 
     Document frequencies count all of these rows. The weights are fitted on
-    about `per_language` rows of each language, chosen by a hash of the key; a
-    fifth of them is left out of that and sets the temperature.
+    about `per_language` rows of each language, chosen by a hash of key and text,
+    repeated rows once; a fifth of them is left out of that and sets the
+    temperature.
     """
-    rows = docs.where(learnable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(key).alias("key"))
+    rows = docs.where(learnable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(key).cast("string"), F.col(text_col)).alias("key"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
@@ -76,9 +77,9 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, ke
         else:
             df[slot] = n
     idf = np.log((1 + total) / (1 + df)) + 1
-    share = F.pmod(F.xxhash64("key"), F.lit(_HASH_SPAN))
+    share = F.pmod("key", F.lit(_HASH_SPAN))
     limits = F.create_map(*[F.lit(x) for lang in languages for x in (lang, int(min(1.0, per_language / counts[lang]) * _HASH_SPAN))])
-    chosen = rows.where(share < F.element_at(limits, F.col("lang"))).select("lang", "text").mapInArrow(_features, "lang string, packed binary").collect()
+    chosen = rows.where(share < F.element_at(limits, F.col("lang"))).dropDuplicates(["lang", "key"]).select("lang", "text").mapInArrow(_features, "lang string, packed binary").collect()
     chosen.sort(key=lambda r: (r["packed"], r["lang"]))  # the order of tasks plays no part
     vectors, labels = [], []
     for lang, packed in chosen:

@@ -146,6 +146,43 @@ def test_language_id(spark):
     assert language_id.identify(docs(spark, [(1, "abc")]), nothing).first().lang_pred == "und"
 
 
+def plain_ngrams(text):
+    """Slots of the 1- to 3-grams of lower-case letters, whatever stands between them being one space, and how often each is hit."""
+    runs = re.sub(r" +", " ", "".join(c.lower()[0] if c.lower()[0].isalpha() else " " for c in text))
+    counts, wrap = Counter(), 2**64 - 1
+    for n in (1, 2, 3):
+        for i in range(len(runs) - n + 1):
+            h = 0
+            for k in range(n):
+                h = (h * 0x9E3779B97F4A7C15 + ord(runs[i + k]) + k + 1) & wrap
+            counts[((h ^ h >> 31) * 0xC2B2AE3D27D4EB4F & wrap) >> (64 - language_id.BITS)] += 1
+    return counts
+
+
+def test_language_id_equals_plain_tfidf_and_softmax(spark):
+    rng = random.Random(3)
+    parts = {"aa": "foo bar baz oof été".split(), "bb": "zis zur ziel zaun foo".split(), "cc": "kolo voda dům bar".split()}
+    langs = [rng.choice("abc") * 2 for _ in range(90)]
+    texts = [(i, " ".join(rng.choice(parts[lang]) for _ in range(rng.randrange(1, 30))) + "! 42") for i, lang in enumerate(langs)]
+    d = docs(spark, texts * 2, langs * 2)  # every row twice
+    model = language_id.fit(d, F.col("doc_id") % 4 != 2)
+    learned = [t for i, t in texts * 2 if i % 4 != 2]
+    df = Counter(slot for t in learned for slot in plain_ngrams(t))
+    for slot in range(1 << language_id.BITS):
+        assert model.idf[slot] == pytest.approx(math.log((1 + len(learned)) / (1 + df[slot])) + 1)
+    right = 0
+    for r in language_id.identify(docs(spark, texts), model).collect():
+        counts = plain_ngrams(dict(texts)[r.doc_id])
+        value = {s: (1 + math.log(n)) * model.idf[s] for s, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in value.values()))
+        score = [(sum(v / norm * model.weights[s, k] for s, v in value.items()) + model.weights[-1, k]) / model.temperature for k in range(3)]
+        odds = [math.exp(x - max(score)) for x in score]
+        best = max(range(3), key=lambda k: odds[k])
+        assert (r.lang_pred, r.score) == (model.languages[best], pytest.approx(odds[best] / sum(odds), abs=1e-5))
+        right += r.doc_id % 4 == 2 and r.lang_pred == langs[r.doc_id]
+    assert right >= 0.85 * sum(i % 4 == 2 for i, _ in texts)
+
+
 def test_ngrams_count_every_window():
     codes = linear.code_points("Ab-1 c", True)
     assert "".join(map(chr, codes)) == "ab c"
