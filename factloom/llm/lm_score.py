@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm import textvec
+from factloom.llm.spread import cut, drop
 
 ALPHA = 0.1
 HEAD_SHARE = 200
@@ -30,8 +31,8 @@ HEAD_SHARE = 200
 BUCKET_ENTRIES = 4_000_000
 LEAST_BUCKETS = 64
 SLOT_BITS = 18
-#: Registers of the estimate of V (relative error 0.4 %).
-REGISTER_BITS = 16
+#: Bits of an n-gram's hash that its bucket does not tell.
+KEY_BITS = 40
 BROADCAST_IDS = 1_000_000
 
 #: A count takes 7 bits; this value says that it stands whole among the large ones.
@@ -71,32 +72,22 @@ def _slot(keys: np.ndarray) -> np.ndarray:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums and maxima over a partition: documents, tokens and entries; entries by slot; registers of the word hashes."""
-    loads, registers = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << REGISTER_BITS, np.int64)
+    """Documents, tokens (kinds 0 and 1) and entries by slot (2) of a partition; the distinct words of every slice (3)."""
+    loads = np.zeros(1 << SLOT_BITS, np.int64)
     docs = tokens = 0
+    row = lambda kind, place, n: pa.RecordBatch.from_arrays([pa.array(np.full(len(place), kind)), pa.array(place), pa.array(n)], names=["kind", "place", "n"])
     for batch in textvec.slices(batches, "_text"):
         data, offsets = textvec.text_buffers(batch.column("_text"))
         keys, _, _, own, words = entries(data, offsets)
         loads += np.bincount(_slot(keys), minlength=len(loads))
-        rest = words << np.uint64(REGISTER_BITS)
-        # leading zeros of the rest, plus one: 64 bits less the exponent of it as a float (a rounding up is rare and harmless)
-        rank = 65 - np.where(rest > 0, np.frexp(rest.astype(np.float64))[1], REGISTER_BITS)
-        np.maximum.at(registers, (words >> np.uint64(64 - REGISTER_BITS)).astype(np.int64), rank)
         docs += batch.num_rows
         tokens += int(own.sum())
-    slots, used = np.flatnonzero(loads), np.flatnonzero(registers)
-    kind = np.concatenate([[0, 1], np.full(len(slots), 2), np.full(len(used), 3)])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(kind), pa.array(np.concatenate([[0, 0], slots, used])), pa.array(np.concatenate([[docs, tokens], loads[slots], registers[used]]))], names=["kind", "place", "n"]
-    )
-
-
-def _vocabulary(registers: np.ndarray) -> float:
-    """The HyperLogLog estimate, with linear counting where few registers are hit."""
-    m = len(registers)
-    estimate = 0.7213 / (1 + 1.079 / m) * m * m / np.sum(2.0 ** -registers.astype(np.float64))
-    empty = int((registers == 0).sum())
-    return float(m * np.log(m / empty)) if empty and estimate < 2.5 * m else float(estimate)
+        distinct = np.unique(words).view(np.int64)
+        yield row(3, distinct, np.ones(len(distinct), np.int64))
+    yield row(0, np.array([0]), np.array([docs]))
+    yield row(1, np.array([0]), np.array([tokens]))
+    slots = np.flatnonzero(loads)
+    yield row(2, slots, loads[slots])
 
 
 def _terms(keys_are_context: np.ndarray, counts: np.ndarray, own: np.ndarray, vocabulary: float) -> np.ndarray:
@@ -117,18 +108,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
     no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.coalesce(F.col(target_col), F.lit(False)).alias("_target"))
-    survey = rows.select("_text").mapInArrow(_survey, "kind long, place long, n long")
-    loads, registers = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << REGISTER_BITS, np.int64)
-    totals = [0, 0]
-    summed = survey.groupBy("kind", "place").agg(F.sum("n").alias("total"), F.max("n").alias("most"))
-    got = summed.toArrow()  # at most 2 + 2**SLOT_BITS + 2**REGISTER_BITS rows
-    kind, place, total, most = (got.column(c).to_numpy() for c in ("kind", "place", "total", "most"))
+    survey = cut(rows.select("_text").mapInArrow(_survey, "kind long, place long, n long"))
+    loads, totals = np.zeros(1 << SLOT_BITS, np.int64), [0, 0]
+    got = survey.where("kind < 3").groupBy("kind", "place").agg(F.sum("n").alias("total")).toArrow()  # at most 2 + 2**SLOT_BITS rows
+    kind, place, total = (got.column(c).to_numpy() for c in ("kind", "place", "total"))
     for k in (0, 1):
         totals[k] = int(total[kind == k].sum())
     loads[place[kind == 2]] = total[kind == 2]
-    registers[place[kind == 3]] = most[kind == 3]
     number, _ = totals
-    vocabulary = _vocabulary(registers) + 1
+    vocabulary = survey.where("kind = 3").select("place").distinct().count() + 1
+    drop(survey)
     buckets = LEAST_BUCKETS
     while buckets * BUCKET_ENTRIES < loads.sum():
         buckets *= 2
@@ -183,23 +172,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
             order = np.argsort(keys, kind="stable")
             keys, owner, counts = keys[order], owner[order], counts[order]
             bounds = np.searchsorted(keys, np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - bits))
-            low = (keys << np.uint64(bits) >> np.uint64(32)).astype("<u4") & np.uint32(0xFFFFFFFE) | (keys & np.uint64(1)).astype("<u4")
+            rest = keys << np.uint64(bits) >> np.uint64(64 - KEY_BITS) & ~np.uint64(1) | keys & np.uint64(1)
+            low, high = rest.astype("<u4"), (rest >> np.uint64(32)).astype(np.uint8)
             large = counts >= _FULL
             flagged = (np.minimum(counts, _FULL) | target[owner].astype(np.int64) << 7).astype(np.uint8)
             wide = "<u2" if batch.num_rows <= 0xFFFF else "<u4"
-            out = {"bucket": [-1 - slice_id % buckets], "slice": [slice_id], "size": [batch.num_rows], "keys": [sink.getvalue().to_pybytes()], "owners": [b""], "counts": [b""], "large": [b""]}
+            out = {"bucket": [-1 - slice_id % buckets], "slice": [slice_id], "size": [batch.num_rows], "keys": [sink.getvalue().to_pybytes()], "high": [b""], "owners": [b""], "counts": [b""], "large": [b""]}
             for b, (lo, hi) in enumerate(zip(np.append(0, bounds), np.append(bounds, len(keys)), strict=True)):
                 if hi > lo:
-                    for name, x in zip(out, (b, slice_id, batch.num_rows, low[lo:hi].tobytes(), owner[lo:hi].astype(wide).tobytes(), flagged[lo:hi].tobytes(), counts[lo:hi][large[lo:hi]].astype("<u4").tobytes()), strict=True):
+                    for name, x in zip(out, (b, slice_id, batch.num_rows, low[lo:hi].tobytes(), high[lo:hi].tobytes(), owner[lo:hi].astype(wide).tobytes(), flagged[lo:hi].tobytes(), counts[lo:hi][large[lo:hi]].astype("<u4").tobytes()), strict=True):
                         out[name].append(x)
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("size", pa.int64()), *((n, pa.binary()) for n in ("keys", "owners", "counts", "large"))]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("size", pa.int64()), *((n, pa.binary()) for n in ("keys", "high", "owners", "counts", "large"))]))
 
     def count_and_score(group: pa.Table) -> pa.Table:
         form = pa.schema([("slice", pa.int64()), ("size", pa.int64()), ("packed", pa.binary())])
         if group.column("bucket")[0].as_py() < 0:
             return pa.table([group.column("slice"), group.column("size"), group.column("keys")], schema=form)
         sizes = group.column("size").to_pylist()
-        keys = [np.frombuffer(x.as_py(), "<u4") for x in group.column("keys")]
+        keys = [np.frombuffer(x.as_py(), "<u4").astype(np.uint64) | np.frombuffer(y.as_py(), np.uint8).astype(np.uint64) << np.uint64(32) for x, y in zip(group.column("keys"), group.column("high"), strict=True)]
         lengths = np.array([len(k) for k in keys])
         base = np.concatenate([[0], np.cumsum(sizes)])
         owner = np.concatenate([np.frombuffer(x.as_py(), "<u2" if s <= 0xFFFF else "<u4").astype(np.int64) for x, s in zip(group.column("owners"), sizes, strict=True)]) + np.repeat(base[:-1], lengths)
@@ -211,7 +201,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         keys, owner, counts, target = keys[order], owner[order], counts[order], target[order]
         first = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
         times = np.diff(np.append(first, len(keys)))
-        context = (keys & 1).astype(bool)
+        context = (keys & np.uint64(1)).astype(bool)
         sums = np.zeros((int(base[-1]), 2), "<f4")
         for side in (0, 1):
             own = counts if side else counts * target
@@ -236,7 +226,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         value = lambda x: pa.array(x, pa.float64(), mask=none)
         return pa.table({"_id": header.column("id"), "n_tokens": pa.array(tokens), "loss_target": value(target), "loss_background": value(back), "score": value(back - target)})
 
-    dealt = rows.mapInArrow(deal, "bucket long, slice long, size long, keys binary, owners binary, counts binary, large binary")
+    dealt = rows.mapInArrow(deal, "bucket long, slice long, size long, keys binary, high binary, owners binary, counts binary, large binary")
     parts = dealt.groupBy("bucket").applyInArrow(count_and_score, "slice long, size long, packed binary")
     out = parts.groupBy("slice").applyInArrow(gather, "_id long, n_tokens long, loss_target double, loss_background double, score double")
     return out.withColumnRenamed("_id", id_col)

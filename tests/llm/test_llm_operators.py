@@ -384,9 +384,21 @@ def test_lm_scores_equal_plain_counts(spark):
                 count = total[side].get(k, 0) - (c if side or i in target else 0)
                 loss += c * (-np.log(count + lm_score.ALPHA) if isinstance(k, tuple) else np.log(count + lm_score.ALPHA * size))
             assert value == pytest.approx(loss / n, abs=0.02)
+            assert value == pytest.approx(loss / n, abs=1e-5)
     assert lm_score.score(docs(spark, []).withColumn("target", F.lit(True))).count() == 0
 
 
+def test_lm_of_repeated_rows_null_ids_and_long_texts(spark):
+    rows = [(1, "a b a b")] * 3 + [(None, "a b"), (None, None), (7, "long words " * 300_000), (8, " ")]
+    d = docs(spark, rows).withColumn("target", F.col("doc_id") == 1)
+    found = lm_score.score(d).collect()
+    assert len(found) == len(rows)
+    same = [r for r in found if r.doc_id == 1]
+    assert len(same) == 3 and len({(r.n_tokens, r.loss_target, r.loss_background) for r in same}) == 1 and same[0].n_tokens == 4
+    assert sorted(r.n_tokens for r in found if r.doc_id is None) == [0, 2]
+    assert next(r for r in found if r.doc_id == 7).n_tokens == 600_000 and next(r for r in found if r.doc_id == 8).score is None
+
+
 def test_lm_leaves_out_the_whole_own_count(spark):
     times = [2, 126, 127, 128, 254, 255, 1000, 70000]
     d = docs(spark, [(n, f"w{n} " * (n + 1)) for n in times]).withColumn("target", F.col("doc_id").isin(127, 1000))
