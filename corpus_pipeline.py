@@ -1,8 +1,12 @@
 """Corpus cleaning in stages: language ID, exact dedup, near-dedup, benchmark decontamination, packing.
 
 Every stage reads all rows that its predecessor kept, through Parquet, and each
-but the last returns the columns of documents. Null texts have no language and
-end at the first stage; an empty table passes through all of them.
+but the last returns the columns of documents, further ones included, whatever
+their names. For all stages: null texts have no language and end at the first
+stage (alone, later stages take them as empty); rows without an id are kept
+where their text is; of equal or near texts the least id stays, so ties are of
+equal ids alone and repeated rows of one id stay or go together, but for exact
+copies, of which one row stays; an empty table passes through all of them.
 """
 
 from __future__ import annotations
@@ -22,28 +26,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copy with the smallest id of each text."""
+    """The copy with the smallest id of each text; of repeated rows one, of copies without any id one."""
+    ship(spark)
     return exact_dedup.drop_exact(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by a similarity of 0.8 on five-word shingles.
 
-    Rows without an id go by a hash of their text above all ids (exact copies are gone by then).
+    Rows without an id go by a hash of their text above all ids (exact copies are
+    gone by then). Null and empty texts are linked with nothing and stay.
     """
+    ship(spark)
     own = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
-    named = docs.withColumn("_near", F.coalesce(F.col("doc_id"), own))
-    kept = near_dedup.near_dedup(named, id_col="_near").where("kept").select(F.col("_near").alias("_kept")).distinct()
-    return named.join(kept, named["_near"] == F.col("_kept"), "left_semi").drop("_near")
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id"), own).alias("id"), F.col("text").alias("text"))
+    kept = near_dedup.near_dedup(rows, id_col="id").where("kept").select("id").distinct()
+    return rows.join(kept, "id", "left_semi").select("row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts have none, repeated rows stay or go together."""
+    ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents left, packed into sequences."""
+    """The pieces of all documents left, packed into sequences; every row by itself, null texts as the end id alone."""
+    ship(spark)
     return packing.pack(docs)
 
 
