@@ -40,6 +40,25 @@ def test_near_dedup_keeps_rows_without_id(spark):
     assert len(kept & {(None, other), (None, other + " again")}) == 1
 
 
+def test_stages_on_hard_rows(spark, tmp_path):
+    base, long_ = " ".join(WORDS * 3), " ".join(f"{w} {i}" for i, w in enumerate(WORDS * 4000))
+    rows = [(1, base), (1, base), (2, long_), (3, None), (None, None), (None, base), (4, ""), (5, base + " again")]
+    form = "doc_id long, text string, lang string, source string, n_chars long, _kept int, _near int, id int, row int, text_sha256 string, _text string"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, 2, 3, 4, "x", "y") for i, t in rows], form)
+    spark.createDataFrame([(1, "no such thing in any of these texts whatever they say about foxes")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        out = stage(spark, docs, str(tmp_path))
+        if name == "packing":
+            assert {r.doc_id for r in out.select("doc_id").collect()} == {1, 2, 3, 4, 5, None}
+            continue
+        assert out.columns == docs.columns and out.select("_kept", "_near", "id", "row").distinct().count() == 1
+        ids = sorted((r.doc_id or 0) for r in out.select("doc_id").collect())
+        assert ids == {"exact_dedup": [1, 2, 3, 5], "near_dedup": [0, 1, 1, 2, 3, 4], "decontamination": [0, 0, 1, 1, 2, 3, 4, 5]}[name], name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert corpus_pipeline.identify_language(spark, docs, "").columns == docs.columns
+    assert corpus_pipeline.identify_language(spark, docs.limit(0), "").count() == 0
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
