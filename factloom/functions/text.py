@@ -116,13 +116,14 @@ def quality_reason(text: Column, url: Column | None = None) -> Column:
     low = F.lower(text)
     domain = F.lower(F.coalesce(F.parse_url(url, F.lit("HOST")), F.lit(""))) if url is not None else F.lit("")
     found = reduce(lambda a, b: a + b, [text.rlike(p).cast("int") for p in VARIANT_PATTERNS])
-    return (
-        F.when(text.isNull() | (text == ""), "empty")
-        .when(binary_reason(text).isNotNull(), F.concat(F.lit("binary: "), binary_reason(text)))
-        .when(markers(domain, JUNK_DOMAINS) > 0, "junk domain")
-        .when(F.length(text) < 1500, "too short")
-        .when((markers(low, PAPER_WORDS) < 2) & (found < 2), "no structure")
-        .otherwise("ok")
+    # The first that is not null: each test runs once, and only if those before it say nothing.
+    return F.coalesce(
+        F.when(text.isNull() | (text == ""), "empty"),
+        F.concat(F.lit("binary: "), binary_reason(text)),
+        F.when(markers(domain, JUNK_DOMAINS) > 0, "junk domain"),
+        F.when(F.length(text) < 1500, "too short"),
+        F.when((markers(low, PAPER_WORDS) < 2) & (found < 2), "no structure"),
+        F.lit("ok"),
     )
 
 
