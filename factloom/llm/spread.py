@@ -38,6 +38,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder of the shared storage for an operator's own files; it is deleted at exit."""
+    path = f"{shared_folder(spark)}/out-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete cuts whose rows nobody will read again."""
     for frame in frames:
