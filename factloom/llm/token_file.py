@@ -1,11 +1,13 @@
 """Token ids in binary files: blocks of whole documents, ids as frequency ranks in one to four bytes, lengths in control bytes of their own.
 
-A file is a sequence of blocks, each followed by one line break. A block:
+A file is a sequence of blocks, each followed by MARK, so that Spark's text
+reader hands them out one by one and may split a file. A block:
 
     8 bytes   magic
     6 longs   part, number of the block in its part, ids of the part before it, documents, ids, distinct ids
     2 longs   bytes of control, bytes of data
     1 long    CRC-32 of all that follows
+    1 long    mask: a byte with which all that follows is combined by exclusive or (0, but where MARK would stand in it)
     documents x (long id, long number of ids, byte: 1 where the id is null)
     distinct x 4 bytes   ids by falling frequency in the block: the rank is the place
     control   2 bits for each id, lowest first: bytes of its rank less one
@@ -27,20 +29,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.packing import END_ID, VOCABULARY, default_folder
 from factloom.llm.spread import scratch
 
 MAGIC = b"FLTOKEN1"
-HEAD = len(MAGIC) + 9 * 8
+MARK = "\n== end of block 5d1c0e7a9b3f4286 ==\n"
+HEAD = len(MAGIC) + 10 * 8
 #: Ids after which a block is closed; a longer document is a block by itself.
 BLOCK_IDS = 1 << 20
 #: Bytes of text that a file is made of, about.
-FILE_TEXT = 64 << 20
+FILE_TEXT = 32 << 20
 #: Words whose ids a worker remembers.
 WORDS = 400_000
+_TOGETHER = 512
 #: Files up to which their places in the corpus are broadcast (32 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_FILES = 500_000
 
@@ -88,28 +92,34 @@ def block_bytes(part: int, number: int, before: int, keys: list, lengths: list[i
     control, data = coded(rank[ids] if len(ids) else np.zeros(0, np.uint32))
     table = np.array([0 if k is None else k for k in keys], "<i8").tobytes() + np.array(lengths, "<i8").tobytes() + bytes(k is None for k in keys)
     body = table + distinct.astype("<u4").tobytes() + control + data
-    return MAGIC + np.array([part, number, before, len(keys), len(ids), len(distinct), len(control), len(data), zlib.crc32(body)], "<i8").tobytes() + body
+    for mask in range(256):
+        made = _masked(body, mask)
+        block = MAGIC + np.array([part, number, before, len(keys), len(ids), len(distinct), len(control), len(data), zlib.crc32(made), mask], "<i8").tobytes() + made
+        if MARK.encode() not in block:
+            return block
+    raise ValueError("no mask keeps the mark out of a block")
 
 
-def heads(content: bytes) -> Iterator[tuple[int, list[int]]]:
-    """(offset, numbers of the head) of the blocks of a file."""
-    at = 0
-    while at < len(content):
-        if content[at : at + len(MAGIC)] != MAGIC:
-            raise ValueError(f"no block at byte {at}")
-        head = [int(v) for v in np.frombuffer(content, "<i8", 9, at + len(MAGIC))]
-        yield at, head
-        at += HEAD + 17 * head[3] + 4 * head[5] + head[6] + head[7] + 1
-    if at != len(content):
-        raise ValueError("the file ends within a block")
+def _masked(body: bytes, mask: int) -> bytes:
+    return (np.frombuffer(body, np.uint8) ^ np.uint8(mask)).tobytes() if mask else body
 
 
-def block_rows(content: bytes, at: int, head: list[int]) -> Iterator[tuple[int | None, int, np.ndarray]]:
+def head_of(block: bytes) -> list[int]:
+    if block[: len(MAGIC)] != MAGIC or len(block) < HEAD:
+        raise ValueError("no block of token ids")
+    head = [int(v) for v in np.frombuffer(block, "<i8", 10, len(MAGIC))]
+    if len(block) != HEAD + 17 * head[3] + 4 * head[5] + head[6] + head[7]:
+        raise ValueError("a block has lost its end")
+    return head
+
+
+def block_rows(block: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(id, its place in the part, ids) of the documents of a block."""
-    _, _, before, docs, n, distinct, controls, size, crc = head
-    body = memoryview(content)[at + HEAD : at + HEAD + 17 * docs + 4 * distinct + controls + size]
+    _, _, before, docs, n, distinct, controls, size, crc, mask = head_of(block)
+    body = block[HEAD:]
     if zlib.crc32(body) != crc:
         raise ValueError("a block's bytes have changed since they were written")
+    body = _masked(body, mask)
     keys, lengths = np.frombuffer(body, "<i8", docs), np.frombuffer(body, "<i8", docs, 8 * docs)
     null = np.frombuffer(body, np.uint8, docs, 16 * docs)
     of_rank = np.frombuffer(body, "<u4", distinct, 17 * docs)
@@ -138,19 +148,33 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(f"{folder}/{VOCABULARY}")
         self.known: dict[str, bytes] = {}
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _learn(self, words: list[str]) -> None:
+        """Ask for words of more than white space in one text, a line break between them, which is always an id by itself."""
+        plain = [w for w in words if not w.isspace()]
+        for i in range(0, len(plain), _TOGETHER):
+            own = plain[i : i + _TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*(4 * np.flatnonzero(ids == self.line)).tolist(), 4 * len(ids)]
+            bytes_, start = ids.tobytes(), 0
+            for w, end in zip(own, ends, strict=True):
+                self.known[w] = bytes_[start:end]
+                start = end + 4
+        for w in words:
+            if w not in self.known:
+                self.known[w] = self._whole(w)
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then the end id."""
         end = np.array([END_ID], "<u4").tobytes()
         split = [None if (("<|" in t or self._controls.search(t)) if t.isascii() else self._other.search(t)) else self._word.findall(t) for t in texts]
         if len(self.known) > WORDS:
             self.known.clear()
-        new = [w for w in {w for words in split if words for w in words} if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn([w for w in {w for words in split if words for w in words} if w not in self.known])
         parts = (self._whole(t) if words is None else b"".join([self.known[w] for w in words]) for t, words in zip(texts, split, strict=True))
         return [np.frombuffer(p + end, "<u4") for p in parts]
 
@@ -208,24 +232,24 @@ def write_ids(docs: DataFrame, path: str, folder: str | None = None, id_col: str
             yield block()
 
     # The text writer puts out a string's bytes as they are, whether or not they are UTF-8.
-    dealt.mapInArrow(write, "block binary").select(F.col("block").cast("string")).write.option("compression", "none").text(path)
+    dealt.mapInArrow(write, "block binary").select(F.col("block").cast("string")).write.option("compression", "none").option("lineSep", MARK).text(path)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).where("length > 0").select("content")
+def _blocks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", MARK).text(path).select(F.col("value").cast("binary").alias("block"))
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
     """For each part: start (ids of all parts before it), docs, ids; from the heads of its blocks. A row a file, so a running sum is cheap."""
+    files = _blocks(spark, path).select(_head_long(0).alias("part"), _head_long(3).alias("docs"), _head_long(4).alias("ids")).groupBy("part").agg(F.sum("docs").alias("docs"), F.sum("ids").alias("ids"))
+    return files.withColumn("start", F.sum("ids").over(Window.orderBy("part")) - F.col("ids"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                found = [(h[0], h[3], h[4]) for _, h in heads(content.as_py())]
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*found, strict=True)], names=["part", "docs", "ids"])
 
-    files = _files(spark, path).mapInArrow(read, "part long, docs long, ids long").groupBy("part").agg(F.sum("docs").alias("docs"), F.sum("ids").alias("ids"))
-    return files.withColumn("start", F.sum("ids").over(Window.orderBy("part")) - F.col("ids"))
+def _head_long(k: int) -> Column:
+    """Number k of a block's head: its eight bytes, the last first, in hexadecimal digits."""
+    digits = F.hex(F.substring("block", len(MAGIC) + 8 * k + 1, 8))
+    turned = F.concat(*[F.substring(digits, 15 - 2 * i, 2) for i in range(8)])
+    return F.conv(turned, 16, 10).cast("long")
 
 
 def read_ids(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -233,16 +257,15 @@ def read_ids(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFram
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                whole = content.as_py()
-                for at, head in heads(whole):
-                    rows = list(block_rows(whole, at, head))
-                    columns = [pa.array([head[0]] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()), pa.array([r[2].tobytes() for r in rows], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["_part", "_id", "_at", "n_tokens", "ids"])
+            for value in batch.column(0):
+                block = value.as_py()
+                part, rows = head_of(block)[0], list(block_rows(block))
+                columns = [pa.array([part] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()), pa.array([r[2].tobytes() for r in rows], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["_part", "_id", "_at", "n_tokens", "ids"])
 
     files = index(spark, path).select(F.col("part").alias("_part"), "start").persist()
     starts = F.broadcast(files) if files.count() <= BROADCAST_FILES else files
-    rows = _files(spark, path).mapInArrow(read, "_part long, _id long, _at long, n_tokens long, ids binary")
+    rows = _blocks(spark, path).mapInArrow(read, "_part long, _id long, _at long, n_tokens long, ids binary")
     return rows.join(starts, "_part").select(F.col("_id").alias(id_col), (F.col("start") + F.col("_at")).alias("start"), "n_tokens", "ids")
 
 

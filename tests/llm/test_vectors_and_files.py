@@ -143,15 +143,20 @@ def test_empty_table_of_documents(spark):
 
 
 def test_changed_bytes_are_told():
-    ids = np.array([5, 5, 9, 0], np.uint32)
-    block = token_file.block_bytes(0, 0, 0, [1], [4], ids)
-    (at, head), = token_file.heads(block + b"\n")
-    assert [(k, n, i.tolist()) for k, n, i in token_file.block_rows(block, at, head)] == [(1, 0, [5, 5, 9, 0])]
-    with pytest.raises(ValueError, match="changed"):
-        list(token_file.block_rows(block[:-1] + bytes([block[-1] ^ 1]), at, head))
-    with pytest.raises(ValueError, match="ends"):
-        list(token_file.heads(block))
-    assert zlib.crc32(b"") == 0
+    block = token_file.block_bytes(0, 0, 0, [1], [4], np.array([5, 5, 9, 0], np.uint32))
+    assert [(k, n, i.tolist()) for k, n, i in token_file.block_rows(block)] == [(1, 0, [5, 5, 9, 0])]
+    for broken, said in ((block[:-1] + bytes([block[-1] ^ 1]), "changed"), (block[:-1], "end"), (b"x" + block, "no block")):
+        with pytest.raises(ValueError, match=said):
+            list(token_file.block_rows(broken))
+
+
+def test_the_mark_never_stands_in_a_block(monkeypatch):
+    ids = np.array([3, 1, 2, 1, 1, 0], np.uint32)
+    block = token_file.block_bytes(1, 2, 3, [4], [6], ids)
+    monkeypatch.setattr(token_file, "MARK", block[-4:].decode("ascii"))  # what the data end in
+    other = token_file.block_bytes(1, 2, 3, [4], [6], ids)
+    assert block[-4:] not in other and token_file.head_of(other)[-1] > 0
+    assert [(k, at, i.tolist()) for k, at, i in token_file.block_rows(other)] == [(4, 3, ids.tolist())]
 
 
 # ---- 13
