@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators import attribution, scanner
+from factloom.operators import attribution, columns, scanner
 from factloom.plans.queries import query
 from factloom.session import table
 
@@ -93,3 +93,36 @@ def target_changes(spark, sf):
     told = attribution.attribute(docs, seen, _TERMS, "doc")
     only = attribution.genes_of_changes(scanner.described(seen), told, "doc").where("genes = array('GENE1')")
     return scanner.variants(seen, told, "GENE1", 2000, "doc").join(only, ["doc", "normalized"], "left_semi").select("doc", "normalized", "n")
+
+
+# ---- roles of columns
+
+_TYPED = "SELECT p_partkey AS id, p_brand AS doc, p_brand AS brand, CAST(right(p_brand, 1) AS INT) AS form, CASE p_size % 4 WHEN 0 THEN 'GENE2' ELSE 'GENE1' END AS gene, 'p.Ala' || (p_partkey % 300 + 10) || 'Val' AS protein, 'c.' || (p_partkey % 300 + 10) || 'A>G' AS coding, CAST(p_size AS INT) AS affected, CAST(p_partkey % 7 + 1 AS INT) AS unaffected FROM part"
+_HEADS = (  # by the last figure of the brand: whole, missing, swapped, split over two rows, counts in one cell
+    "| Gene | cDNA | Protein | Carriers | Affected | Unaffected |\n|---|---|---|---|---|---|\n",
+    "",
+    "| Gene | Protein | cDNA change | Unaffected | Carriers | Affected |\n|---|---|---|---|---|---|\n",
+    "| | Base | Residue | No. of | | |\n| Gene | change | change | carriers | Affected | Unaffected |\n|---|---|---|---|---|---|\n",
+    "| Gene | cDNA | Protein | Affected/carriers |\n|---|---|---|---|\n",
+)
+
+
+@query(f"SELECT doc, 'A' || replace(replace(protein, 'p.Ala', ''), 'Val', '') || 'V' AS variant, CAST(sum(affected + unaffected) AS BIGINT) AS carriers, CAST(sum(affected) AS BIGINT) AS affected, CAST(sum(CASE WHEN form <> 5 THEN unaffected END) AS BIGINT) AS unaffected FROM ({_TYPED}) t WHERE gene = 'GENE1' GROUP BY 1, 2")
+def typed_table_facts(spark, sf):
+    """Facts of tables whose headers are whole, missing, swapped (with counts in another order), split, or with n/N in one cell."""
+    rows = _spelled(spark, sf, _TYPED)
+    text = lambda *names: F.concat(F.lit("| "), F.concat_ws(" | ", *[F.col(n).cast("string") if isinstance(n, str) else n for n in names]), F.lit(" |"))
+    carriers = (F.col("affected") + F.col("unaffected")).cast("string")
+    lines = [
+        text("gene", "coding", "protein", carriers, "affected", "unaffected"),
+        text("gene", "coding", "protein", carriers, "affected", "unaffected"),
+        text("gene", "coding", "protein", "unaffected", carriers, "affected"),
+        text("gene", "coding", "protein", carriers, "affected", "unaffected"),
+        text("gene", "coding", "protein", F.concat(F.col("affected").cast("string"), F.lit("/"), carriers)),
+    ]
+    line, head = lines[0], F.lit(_HEADS[0])
+    for k in range(1, 5):
+        line, head = F.when(F.col("form") == k + 1, lines[k]).otherwise(line), F.when(F.col("form") == k + 1, F.lit(_HEADS[k])).otherwise(head)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]), "\n")
+    docs = rows.groupBy("doc").agg(F.concat(F.lit("Words.\n\n"), F.first(head), body, F.lit("\n\nMore words.")).alias("text"))
+    return columns.typed_facts(docs, "GENE1", "doc").select("doc", "variant", "carriers", "affected", "unaffected")
