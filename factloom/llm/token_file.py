@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,7 +45,6 @@ BLOCK_IDS = 1 << 20
 FILE_TEXT = 32 << 20
 #: Words whose ids a worker remembers.
 WORDS = 400_000
-_TOGETHER = 512
 #: Files up to which their places in the corpus are broadcast (32 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_FILES = 500_000
 
@@ -60,6 +60,10 @@ for _c in range(256):
             _PLACE[_c, 4 * _i + _b], _THERE[_c, 4 * _i + _b] = _at, 1
             _at += 1
 
+#: The letter that stands for each byte in the vocabulary: itself if it is one that can be seen, else the next of those beyond Latin-1.
+_SEEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _SEEN)}
+
 
 def coded(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of whole numbers below 2^32."""
@@ -147,33 +151,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(f"{folder}/{VOCABULARY}")
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.before: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Ask for words of more than white space in one text, a line break between them, which is always an id by itself."""
-        plain = [w for w in words if not w.isspace()]
-        for i in range(0, len(plain), _TOGETHER):
-            own = plain[i : i + _TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(4 * np.flatnonzero(ids == self.line)).tolist(), 4 * len(ids)]
-            bytes_, start = ids.tobytes(), 0
-            for w, end in zip(own, ends, strict=True):
-                self.known[w] = bytes_[start:end]
-                start = end + 4
+        """Ids of words from the library's model, which takes a word's bytes as letters. Words of the last generation are moved, not asked for again."""
         for w in words:
-            if w not in self.known:
-                self.known[w] = self._whole(w)
+            own = self.before.get(w)
+            self.known[w] = own or array("I", [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then the end id."""
         end = np.array([END_ID], "<u4").tobytes()
         split = [None if (("<|" in t or self._controls.search(t)) if t.isascii() else self._other.search(t)) else self._word.findall(t) for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
+        if len(self.known) > WORDS // 2:
+            self.before, self.known = self.known, {}
         self._learn([w for w in {w for words in split if words for w in words} if w not in self.known])
         parts = (self._whole(t) if words is None else b"".join([self.known[w] for w in words]) for t, words in zip(texts, split, strict=True))
         return [np.frombuffer(p + end, "<u4") for p in parts]
