@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators import attribution, columns, scanner
+from factloom.operators import attribution, borders, columns, scanner
 from factloom.plans.queries import query
 from factloom.session import table
 
@@ -126,3 +126,35 @@ def typed_table_facts(spark, sf):
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]), "\n")
     docs = rows.groupBy("doc").agg(F.concat(F.lit("Words.\n\n"), F.first(head), body, F.lit("\n\nMore words.")).alias("text"))
     return columns.typed_facts(docs, "GENE1", "doc").select("doc", "variant", "carriers", "affected", "unaffected")
+
+
+# ---- layouts
+
+_LAYOUT_SQL = f"SELECT doc, 'A' || replace(replace(protein, 'p.Ala', ''), 'Val', '') || 'V' AS variant, CAST(sum(affected + unaffected) AS BIGINT) AS carriers, CAST(sum(affected) AS BIGINT) AS affected FROM ({_TYPED}) t WHERE gene = 'GENE1' GROUP BY 1, 2"
+_CARRIERS = "CAST(affected + unaffected AS STRING)"
+
+
+def _lines(rows: DataFrame, line, head: str) -> DataFrame:
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]), "\n")
+    return rows.groupBy("doc").agg(F.concat(F.lit(head), body, F.lit("\n\nplain words behind it")).alias("text"))
+
+
+@query(_LAYOUT_SQL)
+def layout_table_facts(spark, sf):
+    """Columns told by blanks: numbers to the right of their column, headers to the left, a double blank within some cells."""
+    rows = _spelled(spark, sf, _TYPED)
+    signs = F.when(F.col("id") % 9 == 0, "long  pauses").otherwise("syncope at rest")
+    line = F.concat(F.rpad("gene", 9, " "), F.rpad("protein", 16, " "), F.lpad(F.expr(_CARRIERS), 10, " "), F.lpad(F.col("affected").cast("string"), 11, " "), F.lit("   "), signs)
+    head = "Words.\n\nTable 2 Changes seen\n" + "Gene".ljust(9) + "Protein".ljust(16) + "Carriers".ljust(10) + "   Affected".ljust(11) + "   Phenotype\n"
+    return borders.table_facts(_lines(rows, line, head), "GENE1", "doc").select("doc", "variant", "carriers", "affected")
+
+
+@query(_LAYOUT_SQL)
+def linear_table_facts(spark, sf):
+    """One cell on a line; every seventh row but the first has no last cell."""
+    rows = _spelled(spark, sf, _TYPED)
+    line = F.concat_ws("\n", "gene", "protein", F.expr(_CARRIERS), F.col("affected").cast("string"), F.when(F.col("id") % 7 != 6, "syncope at rest"))
+    rows = rows.withColumn("first", F.expr("id = min(id) OVER (PARTITION BY doc)"))
+    line = F.when(F.col("first") & (F.col("id") % 7 == 6), F.concat(line, F.lit("\nnone at all"))).otherwise(line)
+    head = "Words.\n\nTable S1 All changes\nGene\nProtein change\nNumber of carriers\nAffected\nSigns seen\n"
+    return borders.table_facts(_lines(rows, line, head), "GENE1", "doc").select("doc", "variant", "carriers", "affected")
