@@ -160,9 +160,13 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Ids of words from the library's model, which takes a word's bytes as letters. Words of the last generation are moved, not asked for again."""
+        space, tokenize = chr(_LETTERS[0x20]), self.model.tokenize
         for w in words:
             own = self.before.get(w)
-            self.known[w] = own or array("I", [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
+            if not own:
+                letters = w.replace(" ", space) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
+                own = array("I", [t.id for t in tokenize(letters)]).tobytes()
+            self.known[w] = own
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then the end id."""
