@@ -1,23 +1,28 @@
 """One-to-one matching of reference rows to extracted rows of the same paper.
 
-Equal keys are a plain join. What is left is matched in order within a paper:
-shared spelling, deletion end point if only one fits, cDNA codon bridge, then
-similarity. Order-dependent work runs per paper on those left over alone, a
-paper's variants being few; papers are spread over all tasks.
+Equal keys are a plain join. What is left is matched in the order of ids: shared
+spelling, deletion end point if only one fits, cDNA codon bridge, then
+similarity. Candidate pairs come from joins on what any match must share; then
+rows decide in rounds, as soon as nobody before them can take what they want, so
+the result is that of the order while no task holds a paper.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import notation
-from factloom.operators.shared import fixed
+from factloom.operators.shared import discard, fixed
 
 THRESHOLD = 0.85
+#: Codons that a coding range is looked for in.
+_LONGEST = 10_000
 _DELETION = re.compile(r"^C?\.?(\d+)(?:_(\d+))?DEL([ACGT]{2,})$")
 _CODING_SUB = re.compile(r"^c\.(\d+)[ACGT]>[ACGT]$", re.IGNORECASE)
 _CODING_RANGE = re.compile(r"^c\.(\d+)(?:_(\d+))?(?:del|dup|ins)", re.IGNORECASE)
@@ -78,55 +83,160 @@ def codon_bridge(a: str, b: str) -> bool:
     return False
 
 
-class _Pool:
-    """The free rows of a paper, indexed by spelling and by the numbers in their spellings."""
-
-    def __init__(self, found: pd.DataFrame):
-        self.rows = {r.found_id: (r.raw, sorted(r.forms)) for r in found.sort_values("found_id").itertuples()}
-        self.by_form: dict[str, list] = {}
-        self.by_number: dict[int | None, list] = {}
-        for k, (raw, forms) in self.rows.items():
-            for f in forms:
-                self.by_form.setdefault(f, []).append(k)
-            for n in {int(x) for f in (raw, *forms) for x in re.findall(r"\d+", f)} or {None}:
-                self.by_number.setdefault(n, []).append(k)
-
-    def sharing(self, texts: list[str]) -> list:
-        """Free rows with a number of the texts, or with none; all of them if the texts have none."""
-        numbers = {int(x) for t in texts for x in re.findall(r"\d+", t)}
-        if not numbers:
-            return list(self.rows)
-        hits = {k for n in (*numbers, None) for k in self.by_number.get(n, ()) if k in self.rows}
-        return [k for k in self.rows if k in hits]
-
-
-def _assign(gold: pd.DataFrame, found: pd.DataFrame, threshold: float) -> list[tuple]:
-    pool, out = _Pool(found), []
-    for g in gold.sort_values("gold_id").itertuples():
-        forms = sorted(g.forms)
-        same = [k for f in forms for k in pool.by_form.get(f, ()) if k in pool.rows]
-        hit, kind, score = min(same, default=None), "form", 1.0
-        if hit is None and _span(g.raw):
-            fits = [k for k, (raw, _) in pool.rows.items() if end_point(g.raw, raw)]
-            hit, kind = (fits[0] if len(fits) == 1 else None), "deletion_span"
-        if hit is None:
-            coding = g.raw.lower().startswith("c.")
-            fits = [k for k, (raw, _) in pool.rows.items() if coding != raw.lower().startswith("c.") and codon_bridge(g.raw, raw)]
-            hit, kind = (fits[0] if fits and (len(fits) == 1 or not _CODING_SUB.match(g.raw)) else None), "codon_bridge"
-        if hit is None:
-            best = 0.0
-            for k in pool.sharing(forms):
-                for q in forms:
-                    for c in pool.rows[k][1]:
-                        most = 2 * min(len(q), len(c)) / (len(q) + len(c))  # no alignment can do better
-                        if most > best and most >= threshold and numbers_agree(q, c) and (s := similarity(q, c)) > best:
-                            best, hit = s, k
-            kind, score = "fuzzy", best
-            if best < threshold:
-                hit = None
-        if hit is not None:
-            out.append((g.gold_id, hit, kind, score))
-            del pool.rows[hit]
+# Classes of candidate pairs, in the order they are tried; of a deletion or a bridge to a single base only a sole candidate counts.
+_FORM, _END, _BRIDGE_SOLE, _BRIDGE, _FUZZY = range(5)
+_KINDS = ("form", "deletion_span", "codon_bridge", "codon_bridge", "fuzzy")
+_PAIR = ("gold_id", "found_id", "class", "score")
+#: So many pairs left are finished in one go on the driver.
+FINISH = 20_000
+
+
+def _tokens(form: str, threshold: float) -> list[str]:
+    """The rarest letters of a form, each with its turn: two forms as similar as the threshold share one of them.
+
+    Of n letters at least threshold / (2 - threshold) * n are in any common
+    subsequence that is long enough, so all but so many, and one more, suffice.
+    """
+    turn: dict[str, int] = {}
+    own = []
+    for x in form:
+        turn[x] = turn.get(x, 0) + 1
+        own.append((-turn[x], x))
+    needed = math.ceil(threshold / (2 - threshold) * len(form) - 1e-9)
+    return [f"{x}{-n}" for n, x in sorted(own)[: len(form) - needed + 1]]
+
+
+def _described(rows: DataFrame, own: str, paper: str, threshold: float) -> DataFrame:
+    """Blocks of each row: (block, form) pairs. Rows that can be matched in any way have a block in common."""
+
+    def blocks(raw: str, forms: list[str], mine: bool) -> set[tuple[str, str]]:
+        out = {(f"form {f}", "") for f in forms}
+        if span := _span(raw):
+            out |= {(f"end {span[2]} {at} {'both' if (span[1] is None) == mine else 'one'}", "") for at in span[:2] if at is not None}
+        coding = raw.lower().startswith("c.")
+        if coding and (found := _CODING_SUB.match(raw)):
+            out.add((f"codon {'c' if mine else 'p'} {(int(found[1]) + 2) // 3}", ""))
+        elif coding and (found := _CODING_RANGE.match(raw)):
+            first, last = (int(found[1]) + 2) // 3, (int(found[2] or found[1]) + 2) // 3
+            out |= {(f"codon {'c' if mine else 'p'} {at}", "") for at in range(first - 1, min(last + 1, first + _LONGEST) + 1)}
+        elif not coding and (found := _PROTEIN.match(raw)):
+            out.add((f"codon {'p' if mine else 'c'} {int(found[1])}", ""))
+        for f in forms:
+            numbers = {int(x) for x in re.findall(r"\d+", f)}
+            # One set of numbers holds the other, so one side's largest is among the other's.
+            out |= {(f"{'largest' if mine else 'any'} {n}", f) for n in ({max(numbers)} if numbers else ())} if mine else {(f"largest {n}", f) for n in numbers}
+            out |= {(f"any {n}", f) for n in numbers} if mine else ({(f"any {max(numbers)}", f)} if numbers else set())
+            letters = _tokens(f, threshold)
+            if not numbers:
+                out |= {(f"letter {x}", f) for x in letters} | {(f"bare {x}", f) for x in letters}
+            else:
+                out |= {(f"{'letter' if mine else 'bare'} {x}", f) for x in letters}
+        return out
+
+    mine = own == "gold_id"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, block, form = [], [], []
+            for i, (raw, forms) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                for b, f in sorted(blocks(raw or "", forms or [], mine)):
+                    at.append(i)
+                    block.append(b)
+                    form.append(f)
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(block, pa.string()), pa.array(form, pa.string())], names=["own", "paper", "raw", "block", "form"])
+
+    kinds = dict(rows.dtypes)
+    return rows.select(own, paper, "raw", "forms").mapInArrow(read, f"own {kinds[own]}, paper {kinds[paper]}, raw string, block string, form string")
+
+
+def candidates(gold: DataFrame, found: DataFrame, paper: str, threshold: float) -> DataFrame:
+    """(gold_id, found_id, class, score) of all pairs of a paper that any rule could match; one row for each class of a pair.
+
+    Pairs come from an equi-join on (paper, block), so a large paper is many
+    groups: a spelling, a coordinate of a deletion, a codon, a number, or letters
+    for forms without numbers.
+    """
+    kinds = dict(gold.dtypes) | {"found_id": dict(found.dtypes)["found_id"]}
+    left = _described(gold, "gold_id", paper, threshold).select(F.col("own").alias("gold_id"), F.col("paper"), "block", F.col("raw").alias("raw_g"), F.col("form").alias("form_g"))
+    right = _described(found, "found_id", paper, threshold).select(F.col("own").alias("found_id"), F.col("paper"), "block", F.col("raw").alias("raw_f"), F.col("form").alias("form_f"))
+    pairs = left.join(right, ["paper", "block"]).select("gold_id", "found_id", F.split("block", " ")[0].alias("rule"), "raw_g", "raw_f", "form_g", "form_f")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, classes, scores = [], [], []
+            columns = [batch.column(c).to_pylist() for c in range(2, 7)]
+            for i, (rule, raw_g, raw_f, q, c) in enumerate(zip(*columns, strict=True)):
+                kind, score = None, 1.0
+                if rule == "form":
+                    kind = _FORM
+                elif rule == "end":
+                    kind = _END if end_point(raw_g, raw_f) else None
+                elif rule == "codon":
+                    if raw_g.lower().startswith("c.") != raw_f.lower().startswith("c.") and codon_bridge(raw_g, raw_f):
+                        kind = _BRIDGE_SOLE if _CODING_SUB.match(raw_g) else _BRIDGE
+                elif q and c and 2 * min(len(q), len(c)) >= threshold * (len(q) + len(c)) and numbers_agree(q, c):
+                    score = similarity(q, c)
+                    kind = _FUZZY if score >= threshold else None
+                if kind is not None:
+                    at.append(i)
+                    classes.append(kind)
+                    scores.append(score)
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(classes, pa.int32()), pa.array(scores, pa.float64())], names=["gold_id", "found_id", "class", "score"])
+
+    judged = pairs.mapInArrow(judge, f"gold_id {kinds['gold_id']}, found_id {kinds['found_id']}, class int, score double")
+    return judged.groupBy("gold_id", "found_id", "class").agg(F.max("score").alias("score"))
+
+
+def greedy(pairs: DataFrame) -> DataFrame:
+    """(gold_id, found_id, class, score): what taking gold rows one by one, by id, gives, each the best free row of its first class that has one.
+
+    A gold row may decide as soon as no earlier undecided one could still take
+    the row that it wants; of a class that needs a sole candidate, once it has
+    one, or has two that nobody earlier wants. The first undecided row of all
+    can always decide, so rounds end; rows of different papers, and rows that
+    want different ones, decide in the same round.
+    """
+    sole = F.col("class").isin(_END, _BRIDGE_SOLE)
+    edges, taken = fixed(pairs.select(*_PAIR)), []
+    while True:
+        left = edges.limit(FINISH + 1).count()
+        if left <= FINISH:
+            break
+        first = edges.groupBy("found_id").agg(F.min("gold_id").alias("_first"))
+        marked = edges.join(first, "found_id").withColumn("_free", F.col("_first") == F.col("gold_id"))
+        best = F.min_by(F.struct("found_id", "score", "_free"), F.struct(-F.col("score"), F.col("found_id"))).alias("top")
+        by_class = marked.groupBy("gold_id", "class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_free").cast("int")).alias("clear"), best)
+        now = by_class.groupBy("gold_id").agg(F.min_by(F.struct("class", "n", "clear", "top"), "class").alias("c")).select("gold_id", "c.*")
+        takes = F.col("top._free") & (~sole | (F.col("n") == 1))
+        fails = sole & (F.col("clear") >= 2)
+        decided = fixed(now.where(takes | fails).select("gold_id", "class", F.col("top.found_id").alias("found_id"), F.col("top.score").alias("score"), takes.alias("takes")))
+        own = decided.where("takes")
+        rest = edges.join(own.select("gold_id"), "gold_id", "left_anti").join(own.select("found_id"), "found_id", "left_anti")
+        new = fixed(rest.join(decided.where("not takes").select("gold_id", "class"), ["gold_id", "class"], "left_anti").select(*_PAIR))
+        discard(edges)
+        edges = new
+        taken.append(own.select(*_PAIR))
+    out = edges.sparkSession.createDataFrame(_in_order(edges.collect()), edges.schema)
+    for more in taken:
+        out = out.unionByName(more)
+    return out
+
+
+def _in_order(rows: list) -> list[tuple]:
+    """The same for a bounded number of pairs, one gold row after another."""
+    by_gold: dict = {}
+    for r in rows:
+        by_gold.setdefault(r["gold_id"], {}).setdefault(r["class"], []).append((-r["score"], r["found_id"]))
+    used, out = set(), []
+    for g in sorted(by_gold):
+        for kind in sorted(by_gold[g]):
+            free = sorted(x for x in by_gold[g][kind] if x[1] not in used)
+            if free and (kind not in (_END, _BRIDGE_SOLE) or len(free) == 1):
+                used.add(free[0][1])
+                out.append((g, free[0][1], kind, -free[0][0]))
+                break
     return out
 
 
@@ -148,11 +258,8 @@ def match(gold: DataFrame, found: DataFrame, paper: str = "paper", variant: str
     left = lambda rows, mine, other, own: rows.join(mine.join(other, [paper, "key"], "left_anti").select(own), own, "left_semi")
     g_left, d_left = left(g, g_first, d_first, "gold_id"), left(d, d_first, g_first, "found_id")
 
-    def per_paper(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_assign(left, right, threshold), columns=["gold_id", "found_id", "match_type", "score"])
-
-    schema = f"gold_id {dict(gold.dtypes)['gold_id']}, found_id {dict(found.dtypes)['found_id']}, match_type string, score double"
-    rest = g_left.groupBy(paper).cogroup(d_left.groupBy(paper)).applyInPandas(per_paper, schema)
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), F.col("class") + 1)
+    rest = greedy(candidates(g_left, d_left, paper, threshold)).select("gold_id", "found_id", kind.alias("match_type"), "score")
     matched = fixed(exact.unionByName(rest))
     none = lambda rows, own, other, kind: rows.join(matched.where(F.col(own).isNotNull()), own, "left_anti").select(own, F.lit(None).cast(kind).alias(other), F.lit("none").alias("match_type"), F.lit(None).cast("double").alias("score"))
     return matched.unionByName(none(g, "gold_id", "found_id", dict(found.dtypes)["found_id"])).unionByName(none(d, "found_id", "gold_id", dict(gold.dtypes)["gold_id"]))
