@@ -9,7 +9,10 @@ N-grams are 64-bit hashes. Frequent ones ("heads": in at least 1 / HEAD_SHARE of
 the documents, so at most HEAD_SHARE times the n-grams of a mean document) are
 counted by partial sums and looked up in a broadcast table. The others are dealt
 over buckets by hash; a bucket's task counts its n-grams over the whole corpus
-and scores the same entries, so no model is ever held in one place.
+and scores the same entries, so no model is ever held in one place. An n-gram of
+one document alone adds what an n-gram without counts does, which its document
+knows by itself; so a bucket only tells the differences that n-grams of several
+documents make, and only of the documents that have such.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ BROADCAST_IDS = 1_000_000
 #: A count takes 7 bits; this value says that it stands whole among the large ones.
 _FULL = 127
 
+#: What rows of sums begin with; the header of a slice begins with other bytes.
+_SUMS = b"sums"
 _START = np.uint64(0x5851F42D4C957F2D)
 _CONTEXT = np.uint64(0x14057B7EF767814F)
 
@@ -96,6 +101,11 @@ def _terms(keys_are_context: np.ndarray, counts: np.ndarray, own: np.ndarray, vo
     return np.where(keys_are_context, -logs, logs)
 
 
+def _alone(keys_are_context: np.ndarray, vocabulary: float) -> np.ndarray:
+    """The same for n-grams that no other document has."""
+    return np.where(keys_are_context, -np.log(ALPHA * vocabulary), np.log(ALPHA))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_col: str = "target") -> DataFrame:
     """One row per input row: id, n_tokens, loss_target, loss_background, score.
 
@@ -161,6 +171,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
             for side in (0, 1):
                 own = c if side else c * target[o]
                 sums[side] = np.bincount(o, c * _terms(context, both[side][at[known]], own, vocabulary), minlength=batch.num_rows)
+            keys, owner, counts = keys[~known], owner[~known], counts[~known]
+            alone = np.bincount(owner, counts * _alone((keys & np.uint64(1)).astype(bool), vocabulary), minlength=batch.num_rows)
+            sums += alone  # as if nobody else had these n-grams
             ids = batch.column("_id")
             header = pa.table({"id": ids, "tokens": pa.array(tokens), "t": pa.array(sums[0]), "b": pa.array(sums[1])})
             sink = pa.BufferOutputStream()
@@ -168,7 +181,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
                 out.write_table(header)
             slice_id = part << 32 | number
             number += 1
-            keys, owner, counts = keys[~known], owner[~known], counts[~known]
             order = np.argsort(keys, kind="stable")
             keys, owner, counts = keys[order], owner[order], counts[order]
             bounds = np.searchsorted(keys, np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - bits))
@@ -202,20 +214,28 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         first = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
         times = np.diff(np.append(first, len(keys)))
         context = (keys & np.uint64(1)).astype(bool)
-        sums = np.zeros((int(base[-1]), 2), "<f4")
+        shared = np.repeat(np.diff(np.append(first, len(keys))) > 1, times)  # the others add what their documents know
+        owners, place = np.unique(owner[shared], return_inverse=True)
+        sums = np.zeros((len(owners), 2), "<f4")
         for side in (0, 1):
             own = counts if side else counts * target
             total = np.repeat(np.add.reduceat(own, first), times)
-            sums[:, side] = np.bincount(owner, counts * _terms(context, total, own, vocabulary), minlength=int(base[-1]))
-        return pa.table([group.column("slice"), group.column("size"), pa.array([sums[a:b].tobytes() for a, b in zip(base, base[1:], strict=False)], pa.binary())], schema=form)
+            more = counts * (_terms(context, total, own, vocabulary) - _alone(context, vocabulary))
+            sums[:, side] = np.bincount(place, more[shared], minlength=len(owners))
+        bounds = np.searchsorted(owners, base)
+        some = np.flatnonzero(bounds[1:] > bounds[:-1])
+        packed = [_SUMS + np.uint32(bounds[i + 1] - bounds[i]).tobytes() + (owners[bounds[i] : bounds[i + 1]] - base[i]).astype("<u2" if sizes[i] <= 0xFFFF else "<u4").tobytes() + sums[bounds[i] : bounds[i + 1]].tobytes() for i in some]
+        at = pa.array(some)
+        return pa.table([group.column("slice").take(at), group.column("size").take(at), pa.array(packed, pa.binary())], schema=form)
 
     def gather(group: pa.Table) -> pa.Table:
         header, size = None, group.column("size")[0].as_py()
         sums = np.zeros((size, 2))
         for packed in group.column("packed"):
             raw = packed.as_py()
-            if len(raw) == 8 * size and raw[:4] != b"\xff\xff\xff\xff":
-                sums += np.frombuffer(raw, "<f4").reshape(size, 2)
+            if raw[:4] == _SUMS:
+                n, wide = int(np.frombuffer(raw, "<u4", 1, 4)[0]), 2 if size <= 0xFFFF else 4
+                sums[np.frombuffer(raw, f"<u{wide}", n, 8)] += np.frombuffer(raw, "<f4", 2 * n, 8 + wide * n).reshape(n, 2)
             else:
                 header = pa.ipc.open_stream(raw).read_all()
         tokens = header.column("tokens").to_numpy()
