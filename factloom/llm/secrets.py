@@ -22,7 +22,11 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _VENDOR = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-_JWT = re.compile(r"(eyJ[A-Za-z0-9_-]{8,})\.(eyJ[A-Za-z0-9_-]{8,})\.[A-Za-z0-9_-]{8,}")
+_RUN = re.compile(r"[A-Za-z0-9_-]+")
+_JWT_REST = re.compile(r"\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_JSON_KEY = re.compile(rb'\{"(?:[^"\\]|\\.)*(?:"\s*(?::|$)|$)')
+#: The header of a JWT has this many characters at most.
+LONGEST_HEAD = 4096
 _KEY_BLOCK = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 _KEY_END = "-----END "
 
@@ -38,37 +42,49 @@ def checksum62(body: str) -> str:
     return digits
 
 
-def _vendor(text: str, at: int) -> tuple[int, int] | None:
-    found = _VENDOR.match(text, at)
-    return (found.start(), found.end()) if found and checksum62(found[1]) == found[2] else None
-
-
-def _jwt(text: str, at: int) -> tuple[int, int] | None:
-    found = _JWT.match(text, at)
-    if not found:
-        return None
-    try:
-        head = json.loads(base64.urlsafe_b64decode(found[1] + "=" * (-len(found[1]) % 4)))
-    except (ValueError, RecursionError):  # a header nested too deep to read is no header
-        return None
-    return found.span() if isinstance(head, dict) and "alg" in head else None
-
-
-def _key_block(text: str, at: int) -> tuple[int, int] | None:
-    found = _KEY_BLOCK.match(text, at)
-    if not found:
-        return None
-    close = text.find(_KEY_END, found.end())
-    if close < 0:
-        return found.span()
-    tail = text.find("-----", close + len(_KEY_END))
-    return (at, tail + 5 if tail >= 0 else len(text))
+class _Text:
+    """A text with what earlier hits learned of it, so that no stretch is read again for each hit in it."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.run = (0, None)  # end of the run of token characters read last, and the end of what makes it a JWT behind it
+        self.close = 0  # the next end of a key block known, -1 if there is none
+
+    def vendor(self, at: int) -> tuple[int, int] | None:
+        found = _VENDOR.match(self.text, at)
+        return (found.start(), found.end()) if found and checksum62(found[1]) == found[2] else None
+
+    def jwt(self, at: int) -> tuple[int, int] | None:
+        """Whatever starts in one run of token characters ends with it, so what follows the run is looked at once."""
+        if at >= self.run[0]:
+            end = _RUN.match(self.text, at).end()
+            rest = _JWT_REST.match(self.text, end)
+            self.run = (end, rest.end() if rest else None)
+        end, stop = self.run
+        if stop is None or not 11 <= end - at <= LONGEST_HEAD or not _JSON_KEY.match(base64.urlsafe_b64decode(self.text[at : at + min(64, (end - at) // 4 * 4)])):
+            return None
+        try:
+            head = json.loads(base64.urlsafe_b64decode(self.text[at:end] + "=" * (-(end - at) % 4)))
+        except (ValueError, RecursionError):  # a header nested too deep to read is no header
+            return None
+        return (at, stop) if isinstance(head, dict) and "alg" in head else None
+
+    def private_key(self, at: int) -> tuple[int, int] | None:
+        found = _KEY_BLOCK.match(self.text, at)
+        if not found:
+            return None
+        if 0 <= self.close < found.end():
+            self.close = self.text.find(_KEY_END, found.end())
+        if self.close < 0:
+            return found.span()
+        tail = self.text.find("-----", self.close + len(_KEY_END))
+        return (at, tail + 5 if tail >= 0 else len(self.text))
 
 
 #: keyword (lower case for the base kind assign, as it stands for others) -> (kind, matcher)
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _EXACT_WORDS = {"AKIA": "access", "eyJ": "jwt", "-----BEGIN ": "private_key", **{f"gh{x}_": "vendor_token" for x in "pousr"}, "npm_": "vendor_token"}
-_ADDED = {"vendor_token": _vendor, "jwt": _jwt, "private_key": _key_block}
+_ADDED = {"vendor_token": _Text.vendor, "jwt": _Text.jwt, "private_key": _Text.private_key}
 KINDS = (*BASE_KINDS, *_ADDED)
 
 
@@ -97,7 +113,7 @@ def find_secrets(text: str, automaton=None) -> list[tuple[int, int, str]]:
     keyword. A run of hex digits has no keyword, so its rule is a pattern alone.
     """
     spans: list[tuple[int, int, str]] = []
-    past = dict.fromkeys(KINDS, 0)
+    past, known = dict.fromkeys(KINDS, 0), _Text(text)
     hits = [(end + 1 - length, kind) for end, (kind, length) in (automaton or _automaton()).iter(ascii_lower(text))]
     for at, kind in sorted(hits):
         if at < past[kind]:
@@ -112,7 +128,7 @@ def find_secrets(text: str, automaton=None) -> list[tuple[int, int, str]]:
                 past[kind] = found.end()
                 if found.end() - at >= 16:
                     spans.append((*found.span(), kind))
-        elif found := _ADDED[kind](text, at):
+        elif found := _ADDED[kind](known, at):
             past[kind] = found[1]
             spans.append((*found, kind))
     spans += [(*found.span(), "hex") for found in _HEX.finditer(text)]
