@@ -29,7 +29,7 @@ FUNCTION_WORDS = frozenset(
 )
 _SYMBOLS = "#$%&*<>{}[]~^|\\=_@+"
 _PUNCTUATION = ".,;:!?\"'()"
-_ODD_END = re.compile(r"[^\w\s]{2,}(?!\S)")
+_SIGN = re.compile(r"[^\w\s]")
 _BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 
 #: What the labellers look at, in the order of their votes. Each kind of junk that a crawl has (symbol noise, shouting,
@@ -46,6 +46,11 @@ def _vote(value: float, good: float, bad: float) -> int:
     return GOOD if value > good else BAD if value < bad else ABSTAIN
 
 
+def _odd_end(word: str) -> bool:
+    """Whether a word ends in two signs or more."""
+    return len(word) > 1 and bool(_SIGN.match(word[-1])) and bool(_SIGN.match(word[-2]))
+
+
 def labels(text: str) -> list[int]:
     """The votes of the labellers on a text; a short text says nothing of what needs many words."""
     words = text.split()
@@ -57,7 +62,7 @@ def labels(text: str) -> list[int]:
     return [
         _vote(sum(map(text.count, _SYMBOLS)) / sum(map(len, words)), 0.01, 0.06),
         _vote(sum(map(str.isalpha, low)) / n, 0.9, 0.75) if some else ABSTAIN,
-        _vote(len(_ODD_END.findall(text)) / n, 0.02, 0.15),
+        _vote(sum(_odd_end(w) for w in words) / n, 0.02, 0.15),
         _vote(len(_BARE.findall(text)) / n, 0.01, 0.08),
         _vote((text.count("!") + text.count("?") + text.count("|")) / n, 0.02, 0.2),
         _vote(sum(map(str.isupper, words)) / n, 0.1, 0.3) if some else ABSTAIN,
