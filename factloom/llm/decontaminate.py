@@ -112,7 +112,7 @@ class Index:
     def dense(self, data: np.ndarray) -> list[tuple[int, int]]:
         """Stretches that can hold a match: those where as many q-grams of the index stand together as some passage needs."""
         grams = _grams(data)
-        hits = self.bitmap[_slot(grams, self.bits)] if len(grams) else np.zeros(0, bool)
+        hits = self._outside_runs(grams, self.bitmap[_slot(grams, self.bits)]) if len(grams) else np.zeros(0, bool)
         total = np.concatenate([[0], np.cumsum(hits, dtype=np.int64)])
         at = np.flatnonzero(hits)
         so_far = np.arange(len(at))
@@ -168,10 +168,23 @@ class Index:
                 self.stretches(data, raw, lo, at, key, out)
         return out + self.short_items(raw) if self.short else out
 
+    def _outside_runs(self, grams: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """Hits without those deep inside a run of one character.
+
+        What lies within the run altogether stands at its start as well, and a
+        match that holds more than the run's character reaches one of its ends,
+        so places further than the longest match from both ends say nothing new.
+        """
+        ends = np.flatnonzero(np.append(grams[1:] != grams[:-1], True))
+        starts = np.append(0, ends[:-1] + 1)
+        for a, b in zip(*(x[ends - starts > 2 * (self.span + Q)].tolist() for x in (starts, ends)), strict=True):
+            hits[a + self.span + Q : b - self.span - Q] = False
+        return hits
+
     def lookup(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where q-grams of the index stand, and which."""
         grams = _grams(data)
-        at = np.flatnonzero(self.bitmap[_slot(grams, self.bits)]) if len(grams) else np.zeros(0, np.int64)
+        at = np.flatnonzero(self._outside_runs(grams, self.bitmap[_slot(grams, self.bits)])) if len(grams) else np.zeros(0, np.int64)
         key = np.minimum(np.searchsorted(self.keys, grams[at]), max(0, len(self.keys) - 1))
         same = self.keys[key] == grams[at]
         return at[same], key[same]
@@ -342,18 +355,24 @@ def find_benchmark(docs: DataFrame, items: list[tuple[int, str]], window: int =
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, error_rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, that hold no passage of the benchmark; null and empty texts stay."""
+    blocks = from_table(benchmark)
+    docs, more = _without(docs, next(blocks), window, error_rate, text_col), next(blocks, None)
+    while more is not None:  # one block's index at a time
+        docs, more = _without(cut(docs), more, window, error_rate, text_col), next(blocks, None)
+    return docs
+
+
+def _without(docs: DataFrame, items: list[tuple[int, str]], window: int, error_rate: float, text_col: str) -> DataFrame:
     at = docs.columns.index(text_col)
-    for block in from_table(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(block, window, error_rate))
+    shared = docs.sparkSession.sparkContext.broadcast(Index(items, window, error_rate))
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for batch in batches:
-                clean = [not index.matches(np.frombuffer(normalise(x.as_py() or "").encode(), np.uint8)) for x in batch.column(at)]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            clean = [not index.matches(np.frombuffer(normalise(x.as_py() or "").encode(), np.uint8)) for x in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    return docs.mapInArrow(keep, docs.schema)
 
 
 #: Items beyond this many bytes of text are searched in blocks of so many.
