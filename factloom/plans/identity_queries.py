@@ -8,7 +8,7 @@ from factloom.session import table
 
 # Four parts in a row are one variant, told by a chain: a coding notation, that and a genomic one, that and an old label, that and a
 # protein change. Every fifth block says two protein changes; a further row of it repeats its second one in all columns.
-_ROWS = """SELECT p_partkey AS id, 'GENE' || (floor(p_partkey / 4) % 3) AS gene, CAST(floor(p_partkey / 4) AS BIGINT) AS block,
+_ROWS = """SELECT p_partkey AS id, 'GENE' || (CAST(floor(p_partkey / 4) AS BIGINT) % 3) AS gene, CAST(floor(p_partkey / 4) AS BIGINT) AS block,
   CASE WHEN p_partkey % 4 <= 1 THEN 'c.' || CAST(floor(p_partkey / 4) AS BIGINT) || 'A>G' END AS cdna,
   CASE WHEN p_partkey % 4 BETWEEN 1 AND 2 THEN 'g.' || CAST(floor(p_partkey / 4) AS BIGINT) END AS genomic,
   CASE WHEN p_partkey % 4 >= 2 THEN CAST(floor(p_partkey / 4) AS BIGINT) || 'delAG' END AS legacy,
