@@ -25,6 +25,10 @@ TITLES = frozenset("title article-title section-title ce:section-title label-tit
 PARAGRAPHS = frozenset("p para simple-para abstract-sec note-para".split())
 ROWS, CELLS = frozenset(("tr", "row")), frozenset(("td", "th", "entry"))
 CAPTIONS = frozenset(("caption", "legend"))
+#: Blocks of text, beside paragraphs and captions, and what only holds blocks.
+TEXT_BLOCKS = PARAGRAPHS | CAPTIONS | frozenset("list-item def-item disp-quote preformat verse-line attrib ce:list-item ce:displayed-quote fn".split())
+CONTAINERS = frozenset("sec section ce:section body abstract front back article list def-list verse-group boxed-text fig table-wrap fn-group ack app app-group supplementary-material statement floats-group ce:list ce:display".split())
+IDENTIFIERS = frozenset(("article-id", "pub-date"))
 SKIPPED = frozenset("ref-list bibliography references back-matter-refs tex-math math script style permissions journal-meta history contrib-group aff".split())
 HTML_SKIPPED = frozenset("script style noscript template svg nav footer header form button iframe".split())
 HTML_BLOCKS = frozenset("p div section article li ul ol table tr h1 h2 h3 h4 h5 h6 blockquote figcaption caption br main body".split())
@@ -48,33 +52,105 @@ def _name(element: ET.Element) -> str:
 
 
 def _words(element: ET.Element) -> str:
-    return re.sub(r"\s+", " ", "".join(element.itertext())).strip()
+    """All text of an element but that of skipped ones within."""
+    pieces, todo = [], [element]
+    while todo:
+        e = todo.pop()
+        if isinstance(e, str):
+            pieces.append(e)
+        elif _name(e) not in SKIPPED and _name(e) not in IDENTIFIERS and (_name(e) or e is element):
+            pieces.append(e.text or "")
+            todo += [x for child in reversed(e) for x in (child.tail or "", child)]
+        # what stands behind a skipped element is its parent's
+    return re.sub(r"\s+", " ", "".join(pieces)).strip()
+
+
+class _Blocks:
+    """Text blocks of an XML tree in order; words gather until a block begins or ends."""
+
+    def __init__(self):
+        self.out: list[str] = []
+        self.pieces: list[str] = []
+        self.mark = ""  # what a block begins with: the figures of a heading, or those of a list item
+
+    def flush(self) -> None:
+        if said := re.sub(r"\s+", " ", "".join(self.pieces)).strip():
+            self.out.append(f"{self.mark}{said}")
+            self.mark = ""
+        self.pieces.clear()
+
+    def table(self, element: ET.Element) -> None:
+        """Rows as pipes; titles and captions within the table come before it, other text outside cells behind it."""
+        self.flush()
+        ahead, behind, rows = [], [], []
+        todo: list[tuple[ET.Element, bool]] = [(element, False)]
+        while todo:
+            e, named = todo.pop()
+            name = _name(e)
+            if e is not element and (name in SKIPPED or name in IDENTIFIERS or not name):
+                continue
+            if name in CELLS:
+                if not rows:
+                    rows.append([])
+                rows[-1].append(_words(e))
+                continue
+            if name in ROWS:
+                rows.append([])
+            named = named or name in TITLES or name in CAPTIONS
+            (ahead if named else behind).append(e.text or "")
+            todo += [(child, named) for child in reversed(e)]
+            (ahead if named else behind).extend(child.tail for child in e if (child.tail or "").strip())
+        for said in (ahead, None, behind):
+            block = _pipes(rows) if said is None else re.sub(r"\s+", " ", " ".join(said)).strip()
+            if block:
+                self.out.append(block)
 
 
 def xml_text(content: bytes) -> str:
-    """Article XML as Markdown: titles as headings by their depth, paragraphs, tables; elements of no such kind are passed through."""
-    out: list[str] = []
-    todo: list[tuple[ET.Element, int]] = [(ET.fromstring(content), 0)]
+    """Article XML as Markdown: titles as headings by their depth, blocks of text, tables, wherever they stand.
+
+    All text outside SKIPPED elements is in the result once, but for the
+    identifiers of IDENTIFIERS. An element of a known block kind is a block by
+    itself, within a paragraph too, which goes on behind it; any other element
+    is part of the block around it; where none is open it is one if it has words
+    of its own, else its elements are.
+    """
+    made = _Blocks()
+    todo: list[tuple] = [("open", ET.fromstring(content), 0, False)]
     while todo:
-        element, depth = todo.pop()
+        step, element, depth, within = todo.pop()
+        if step == "text":
+            made.pieces.append(element)
+            continue
+        if step == "end":
+            made.flush()
+            made.mark = ""
+            continue
         name = _name(element)
-        if name in SKIPPED or not name:
+        if name in SKIPPED or not name or name in IDENTIFIERS:
             continue
+        if name in ("table", "tgroup"):
+            made.table(element)
+            continue
+        block = name in TITLES or name in TEXT_BLOCKS or name in CONTAINERS
+        if block or not within:
+            made.flush()
         if name in TITLES:
-            if said := _words(element):
-                out.append(f"{'#' * min(6, max(1, depth))} {said}")
-        elif name in PARAGRAPHS or name in CAPTIONS:
-            if said := _words(element):
-                out.append(said)
-        elif name in ("table", "tgroup"):
-            if rows := _pipes([[_words(c) for c in r if _name(c) in CELLS] for r in element.iter() if _name(r) in ROWS]):
-                out.append(rows)
-        else:
-            deeper = depth + (name in ("sec", "section", "ce:section", "body", "abstract"))
-            todo += [(child, deeper) for child in reversed(element)]
-            if not len(element) and (said := _words(element)) and depth == 0 and name not in ("article-id", "pub-date"):
-                out.append(said)
-    return "\n\n".join(out)
+            made.mark = f"{'#' * min(6, max(1, depth))} "
+        opens = name in TITLES or name in TEXT_BLOCKS
+        if block or not within:
+            todo.append(("end", None, depth, False))
+        deeper = depth + (name in ("sec", "section", "ce:section", "body", "abstract"))
+        mixed = bool((element.text or "").strip()) or any((child.tail or "").strip() for child in element)
+        inside = within or opens or (not block and mixed)
+        for child in reversed(element):
+            if child.tail:
+                todo.append(("text", child.tail, 0, False))
+            todo.append(("open", child, deeper, inside and not (name in CONTAINERS and not opens)))
+        if element.text:
+            made.pieces.append(element.text)
+    made.flush()
+    return "\n\n".join(made.out)
 
 
 class _Html(HTMLParser):

@@ -27,10 +27,16 @@ def write_text(spark: SparkSession, name: str, text: str) -> None:
         raise OSError(f"cannot write {name}")
 
 
+#: Statuses of a stage; a manifest that named only some of them would count wrongly.
+MOST_STATUSES = 1000
+
+
 def write_manifest(spark: SparkSession, name: str, stage: str, entries: DataFrame, key: str, status: str) -> dict:
     """The manifest of a stage: how many entries of each status, and where their rows are; entries go beside it as JSON lines."""
     entries.write.mode("overwrite").json(f"{name}.entries")
-    tally = {r[0]: r[1] for r in entries.groupBy(F.coalesce(status, F.lit("none"))).agg(F.count(F.lit(1))).orderBy(F.lit(1)).limit(1000).collect()}
+    tally = {r[0]: r[1] for r in entries.groupBy(F.coalesce(status, F.lit("none"))).agg(F.count(F.lit(1))).orderBy(F.lit(1)).limit(MOST_STATUSES + 1).collect()}
+    if len(tally) > MOST_STATUSES:
+        raise ValueError(f"over {MOST_STATUSES} statuses; is this column one of free text?")
     said = {"stage": stage, "entries": sum(tally.values()), "by_status": tally, "files": f"{name}.entries", "key": key}
     write_text(spark, name, json.dumps(said, indent=2, sort_keys=True))
     return said
