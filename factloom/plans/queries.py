@@ -357,14 +357,14 @@ def tumbling_rate(spark, sf):
 
 
 _STORED = "SELECT p_partkey AS k, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_brand END AS brand, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size END AS size FROM part WHERE p_partkey % 2 = 0"
-_INCOMING = "SELECT p_partkey AS k, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 3 = 0"
+_INCOMING = "SELECT p_partkey AS k, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 2 = 1"
 
 
 @query(f"WITH s AS ({_STORED}), i AS ({_INCOMING}) SELECT coalesce(s.k, i.k) AS k, coalesce(s.brand, i.brand) AS brand, coalesce(s.size, i.size) AS size, CASE WHEN s.k IS NULL THEN 'added' WHEN i.k IS NULL THEN 'kept' ELSE 'updated' END AS action FROM s FULL OUTER JOIN i ON s.k = i.k")
 def upsert_identity(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
     stored = p.where("k % 2 = 0").withColumn("brand", F.when(F.col("k") % 4 != 0, F.col("brand"))).withColumn("size", F.when(F.col("k") % 3 != 0, F.col("size")))
-    return relational.upsert(stored, p.where("k % 3 = 0"), ["k"], ["brand", "size"])
+    return relational.upsert(stored, p.where("k % 3 = 0 OR k % 2 = 1"), ["k"], ["brand", "size"])
 
 
 @query("SELECT CASE WHEN grouping(l_returnflag) = 1 THEN 'ALL' ELSE l_returnflag END AS flag, CASE WHEN grouping(l_linestatus) = 1 THEN 'ALL' ELSE l_linestatus END AS status, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
@@ -374,11 +374,11 @@ def stratified_cube(spark, sf):
     return sums.select("flag", "status", "n", "quantity")
 
 
-@query("""WITH b AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 5 <> 0), a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 3 <> 0)
+@query("""WITH b AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 5 <> 0), a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 5 = 0)
 SELECT coalesce(b.k, a.k) AS k, CASE WHEN b.k IS NULL THEN 'added' WHEN a.k IS NULL THEN 'removed' WHEN a.s = b.s THEN 'same' ELSE 'updated' END AS change FROM b FULL OUTER JOIN a ON a.k = b.k""")
 def scd_diff(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
-    after = o.where("k % 3 <> 0").withColumn("s", F.when(F.col("k") % 7 == 0, "X").otherwise(F.col("s")))
+    after = o.where("k % 3 <> 0 OR k % 5 = 0").withColumn("s", F.when(F.col("k") % 7 == 0, "X").otherwise(F.col("s")))
     return relational.snapshot_diff(o.where("k % 5 <> 0"), after, ["k"], ["s"])
 
 

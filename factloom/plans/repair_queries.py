@@ -95,12 +95,12 @@ def continuation_merge(spark, sf):
 
 
 @query("""WITH b AS (SELECT o_orderkey AS k, CAST(o_custkey AS INT) AS carriers, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS note FROM orders WHERE o_orderstatus <> 'O'),
-t AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 100 AS INT) END AS carriers, 'table' AS note FROM orders WHERE o_orderkey % 2 = 0)
+t AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 100 AS INT) END AS carriers, 'table' AS note FROM orders WHERE o_orderkey % 2 = 0 OR o_orderstatus = 'O')
 SELECT coalesce(b.k, t.k) AS k, coalesce(t.carriers, b.carriers) AS carriers, coalesce(b.note, t.note) AS note, CASE WHEN b.k IS NULL THEN 'table' WHEN t.k IS NULL THEN 'base' ELSE 'both' END AS origin FROM b FULL OUTER JOIN t ON b.k = t.k""")
 def table_merge(spark, sf):
     o = table(spark, sf, "orders")
     b = o.where("o_orderstatus <> 'O'").selectExpr("o_orderkey AS k", "CAST(o_custkey AS INT) AS carriers", "CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS note")
-    t = o.where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS k", "CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 100 AS INT) END AS carriers", "'table' AS note")
+    t = o.where("o_orderkey % 2 = 0 OR o_orderstatus = 'O'").selectExpr("o_orderkey AS k", "CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 100 AS INT) END AS carriers", "'table' AS note")
     return repairs.merge_tables(b, t, ["k"], ["carriers"])
 
 
@@ -113,13 +113,13 @@ def table_links_to_add(spark, sf):
     return repairs.missing_links(made("l_linenumber <> 2"), made("l_linenumber IN (2, 4) OR l_suppkey % 4 = 0"), listed, "paper", ["v", "c"])
 
 
-@query("""WITH s AS (SELECT o_orderkey AS k, o_custkey % 20 AS paper, o_orderstatus AS v FROM orders WHERE o_orderkey % 4 > 0), i AS (SELECT o_orderkey AS k, o_custkey % 20 AS paper, CASE WHEN o_orderkey % 7 = 0 THEN 'Z' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 5 > 0)
+@query("""WITH s AS (SELECT o_orderkey AS k, o_custkey % 20 AS paper, o_orderstatus AS v FROM orders WHERE o_orderkey % 4 > 0), i AS (SELECT o_orderkey AS k, o_custkey % 20 AS paper, CASE WHEN o_orderkey % 7 = 0 THEN 'Z' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 5 > 0 OR o_orderkey % 4 = 0)
 SELECT coalesce(s.k, i.k) AS k, coalesce(s.paper, i.paper) AS paper, CASE WHEN i.k IS NULL THEN s.v ELSE i.v END AS v, CASE WHEN s.k IS NULL THEN 'added' WHEN i.k IS NULL THEN 'removed' WHEN s.v = i.v THEN 'same' ELSE 'updated' END AS change,
   CASE WHEN s.k IS NOT NULL AND i.k IS NOT NULL AND s.v = i.v THEN 3 ELSE 4 END AS version, coalesce(s.paper, i.paper) < 5 AS excluded FROM s FULL OUTER JOIN i ON s.k = i.k""")
 def reference_sync(spark, sf):
     o = table(spark, sf, "orders").selectExpr("o_orderkey AS k", "o_custkey % 20 AS paper", "o_orderstatus AS v")
     excluded = o.select("paper").where("paper < 5")
-    return repairs.sync_reference(o.where("k % 4 > 0").withColumn("version", F.lit(3)), o.where("k % 5 > 0").withColumn("v", F.when(F.col("k") % 7 == 0, "Z").otherwise(F.col("v"))), ["k", "paper"], ["v"], excluded, 4)
+    return repairs.sync_reference(o.where("k % 4 > 0").withColumn("version", F.lit(3)), o.where("k % 5 > 0 OR k % 4 = 0").withColumn("v", F.when(F.col("k") % 7 == 0, "Z").otherwise(F.col("v"))), ["k", "paper"], ["v"], excluded, 4)
 
 
 @query("""WITH d AS (SELECT lang, contains(lower(text), 'token') AS s, contains(lower(text), 'license') AS g FROM documents)
@@ -156,12 +156,12 @@ def baseline_match(spark, sf):
     return pairwise.match_baseline(found, expected, ["doc"], "v", "GENE1", 250)
 
 
-@query("""WITH f AS (SELECT p_brand AS doc, p_partkey % 40 AS n, max(p_partkey) AS k FROM part WHERE p_size % 2 = 0 GROUP BY 1, 2), e AS (SELECT p_brand AS doc, p_partkey % 40 AS n FROM part WHERE p_size % 3 = 0 GROUP BY 1, 2)
+@query("""WITH f AS (SELECT p_brand AS doc, p_partkey % 40 AS n, max(p_partkey) AS k FROM part WHERE p_size % 2 = 0 GROUP BY 1, 2), e AS (SELECT p_brand AS doc, p_partkey % 40 AS n FROM part WHERE p_size % 3 = 0 OR p_size % 2 > 0 GROUP BY 1, 2)
 SELECT doc, 'A' || n || 'V' AS normal, CASE WHEN k % 3 = 0 THEN 'A' || n || 'V' ELSE CASE WHEN k IS NOT NULL THEN 'p.Ala' || n || 'Val' END END AS extracted, CASE WHEN k IS NULL THEN 'missed' WHEN en IS NULL THEN 'extra' ELSE 'matched' END AS result
 FROM f FULL OUTER JOIN (SELECT doc, n, n AS en FROM e) e USING (doc, n)""")
 def set_match(spark, sf):
     p = table(spark, sf, "part").selectExpr("p_brand AS doc", "p_partkey AS k", "p_size AS s", "CASE WHEN p_partkey % 3 = 0 THEN concat('A', p_partkey % 40, 'V') ELSE concat('p.Ala', p_partkey % 40, 'Val') END AS v")
-    return pairwise.set_match(p.where("s % 2 = 0"), p.where("s % 3 = 0"), ["doc"], "v", "k").select("doc", "normal", "extracted", "result")
+    return pairwise.set_match(p.where("s % 2 = 0"), p.where("s % 3 = 0 OR s % 2 > 0"), ["doc"], "v", "k").select("doc", "normal", "extracted", "result")
 
 
 # ---- jobs

@@ -79,7 +79,7 @@ _rules(
     lambda t, a, u, x, p, age, onset, diagnosis: [_joined(trust.fact_checks(t, a, u, x, p)), _joined(trust.record_checks(age, onset, diagnosis))],
 )
 _rules(
-    "value_coercion", ["STRING"], {"safe": "INT", "lenient": "INT", "first": "INT", "id": "STRING", "valid": "BOOLEAN", "text": "STRING", "status": "STRING"},
+    "value_coercion", ["STRING"], {"safe": "INT", "lenient": "INT", "first": "INT", "paper": "STRING", "valid": "BOOLEAN", "text": "STRING", "status": "STRING"},
     [
         ("3.9", 3, 0, 3, "3", False, "3.9", "uncertain"), (" 12 ", 12, 12, 12, "12", False, "12", "uncertain"), ("about 12-15", None, 0, 12, "about 12-15", False, "about 12-15", "uncertain"), ("16470702.0", 16470702, 0, 16470702, "16470702", False, "16470702.0", "uncertain"), ("Patient", None, 0, None, "Patient", False, "Patient", "affected"),
         (" ", None, 0, None, "", False, None, None), (None, None, 0, None, "", False, None, None), ("control", None, 0, None, "control", False, "control", "unaffected"), ("12345678", 12345678, 12345678, 12345678, "12345678", True, "12345678", "uncertain"),

@@ -40,6 +40,7 @@ def test_query_equals_sql(spark, sql, name):
     found = catalogue.QUERIES[name](spark, FOLDER)
     expected = sql.execute(catalogue.ORACLES[name])
     columns = [c[0] for c in expected.description]
+    assert len(set(found.columns)) == len(found.columns), "a table cannot be written with two columns of one name"
     assert sorted(found.columns) == sorted(columns)
     assert rows_of(found.columns, [tuple(r) for r in found.collect()]) == rows_of(columns, expected.fetchall())
 
