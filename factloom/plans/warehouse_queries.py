@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from factloom.operators.shared import folder_of
 from factloom.plans.queries import query
 from factloom.session import table
-from factloom.sources import warehouse
+from factloom.sources import clustered, warehouse
 
 _join = lambda c: F.array_join(c, ",").alias(c)
 
@@ -55,3 +58,29 @@ def paper_surfaces(spark, sf):
 def variation_titles(spark, sf):
     p = table(spark, sf, "part").selectExpr("p_partkey AS id", "CASE p_size % 3 WHEN 0 THEN concat('NM_1.4(GENE1):c.', p_size, 'C>T (p.Ala', p_size, 'Val)') WHEN 1 THEN concat('NM_1.4(GENE1):c.', p_size, 'C>T') ELSE 'GENE1 deletion' END AS title")
     return warehouse.named_changes(p, "title").select("id", "coding", "protein")
+
+
+# ---- the clustered table
+
+_CLUSTERED = "SELECT l_orderkey * 10 + l_linenumber AS row, concat('g', l_suppkey) AS gene, CAST(l_partkey % 40 AS INT) AS position FROM lineitem"
+
+
+def _clustered(spark, sf) -> clustered.Clustered:
+    made = clustered.Clustered(spark, f"{folder_of(spark)}/clustered-{uuid.uuid4().hex}")
+    made.write(spark.sql(_CLUSTERED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf, "lineitem")))
+    return made
+
+
+@query(f"WITH w AS ({_CLUSTERED}) SELECT gene, position, count(*) AS n, CAST(sum(row) AS BIGINT) AS rows FROM w WHERE EXISTS (SELECT 1 FROM supplier WHERE gene = concat('g', s_suppkey) AND position IN (s_suppkey % 40, s_suppkey % 7)) GROUP BY 1, 2")
+def clustered_lookup(spark, sf):
+    """Two positions of each supplier's gene, from the files that hold them."""
+    s = table(spark, sf, "supplier")
+    wanted = s.selectExpr("concat('g', s_suppkey) AS gene", "CAST(s_suppkey % 40 AS INT) AS position").union(s.selectExpr("concat('g', s_suppkey)", "CAST(s_suppkey % 7 AS INT)"))
+    return _clustered(spark, sf).lookup(wanted).groupBy("gene", "position").agg(F.count(F.lit(1)).alias("n"), F.sum("row").cast("long").alias("rows"))
+
+
+@query(f"WITH w AS ({_CLUSTERED}) SELECT gene, (SELECT count(*) FROM w AS x WHERE x.gene = 'g1') AS of_first FROM w GROUP BY 1")
+def clustered_genes(spark, sf):
+    """The distinct genes, and the size of the slice of one of them."""
+    made = _clustered(spark, sf)
+    return made.leading().withColumn("of_first", F.lit(made.slice("g1").count()))
