@@ -60,5 +60,5 @@ def test_stages_on_hard_rows(spark, tmp_path):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
