@@ -23,7 +23,7 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 class JobState(StatefulProcessor):
     """A value for the newest step and a map of progress by step; a timer for each job that has ended.
 
-    Events may come in any order: the newest by time is the current step, and a
+    Events may come in any order within the delay of the watermark: the newest by time is the current step, and a
     step's progress is that of its newest event that states one. A job that has
     ended and was not touched for `max_age` of event time is emitted once more as
     expired, and forgotten.
@@ -85,7 +85,7 @@ def rocks(spark: SparkSession):
 
 
 def job_states(events: DataFrame, max_age: timedelta, delay: str = "1 second") -> DataFrame:
-    """A stream of states from a stream of (job, at, step, progress): a row for each job that a batch touches, and one when it expires."""
+    """A stream of states from a stream of (job, at, step, progress): a row for each job that a batch touches, and one when it expires. Events that come later than `delay` behind the newest are dropped, as the watermark says."""
     return events.withWatermark("at", delay).groupBy("job").transformWithStateInPandas(JobState(max_age), outputStructType=_OUT, outputMode="Update", timeMode="EventTime")
 
 
