@@ -17,8 +17,8 @@ STUDY_WIDE = r"(?i)\b(overall|cohort|study population|entire|all carriers|design
 
 
 def variant_summary(facts: DataFrame, key: list[str], paper: str, carriers: str, affected: str, first: Column, carry: list[str]) -> DataFrame:
-    """Per key: the `carry` columns of its first row, total and affected carriers, share affected, papers in order."""
-    one = F.min_by(F.struct(*carry), first)
+    """Per key: the `carry` columns of its first row (of several first ones the least values), total and affected carriers, share affected, papers in order."""
+    one = F.min_by(F.struct(*carry), F.struct(first, *carry))
     out = facts.groupBy(*key).agg(
         one.alias("_first"), F.sum(carriers).alias("total"), F.sum(affected).alias("affected"), F.array_sort(F.collect_set(F.col(paper))).alias("papers")
     )

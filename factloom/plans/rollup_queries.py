@@ -88,7 +88,7 @@ def json_ids_and_answers(spark, sf):
     return o.select("id", F.array_join(identity.ids_in_json(F.col("j")), ",").alias("ids"), identity.answer_object(F.col("a")).alias("answer"), witness["observed"].alias("observed"))
 
 
-@query(f"""WITH facts AS ({FACTS_SQL}), s AS (SELECT variant, arg_min(layer, paper * 10 + line) AS layer, CAST(sum(carriers) AS BIGINT) AS total, CAST(sum(affected) AS BIGINT) AS affected, count(DISTINCT paper) AS n_papers FROM facts GROUP BY 1)
+@query(f"""WITH facts AS ({FACTS_SQL}), s AS (SELECT variant, first(layer ORDER BY paper, line, layer) AS layer, CAST(sum(carriers) AS BIGINT) AS total, CAST(sum(affected) AS BIGINT) AS affected, count(DISTINCT paper) AS n_papers FROM facts GROUP BY 1)
 SELECT *, affected * 100 / CAST(nullif(total, 0) AS DOUBLE) AS percentage, row_number() OVER (PARTITION BY variant % 50 ORDER BY coalesce(total, 0) DESC, coalesce(affected * 100 / CAST(nullif(total, 0) AS DOUBLE), 0) DESC, variant) AS place FROM s""")
 def variant_summary(spark, sf):
     s = rollups.variant_summary(facts(spark, sf), ["variant"], "paper", "carriers", "affected", F.struct("paper", "line"), ["layer"]).drop("papers")
