@@ -14,7 +14,7 @@ from factloom.streaming.ledger import LedgerTable
 
 _EVENT = {
     "job": "CAST(unix_date(CAST(o_orderdate AS DATE)) AS BIGINT)",
-    "at": "timestamp_seconds(o_orderkey + 86400)",  # a watermark begins at 0, and what is not later is late
+    "at": "timestamp_micros(o_orderkey - {least} + 86400000000)",  # a watermark begins at 0, and what is not later is late
     "step": "CASE o_orderkey % 5 WHEN 0 THEN 'fetch' WHEN 1 THEN 'extract' WHEN 2 THEN 'failed' WHEN 3 THEN 'completed' ELSE 'extract' END",
     "progress": "CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END",
 }
@@ -27,15 +27,17 @@ def _scratch(spark) -> str:
 @query("""WITH e AS (SELECT date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS job, o_orderkey AS t, CASE o_orderkey % 5 WHEN 0 THEN 'fetch' WHEN 1 THEN 'extract' WHEN 2 THEN 'failed' WHEN 3 THEN 'completed' ELSE 'extract' END AS step, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS p FROM orders),
 s AS (SELECT job, max(t) AS updated_at, arg_max(step, t) AS current_step FROM e GROUP BY 1) SELECT s.*, (SELECT max(p) FROM e WHERE e.job = s.job AND step = 'extract') AS extracted FROM s""")
 def streamed_job_state(spark, sf):
-    """The state of each job (the orders of a day) by a stream of events, which come in files of any order, two to a batch, into a ledger table; the delay is longer than all their times, and no job is so old that it expires."""
+    """The state of each job (the orders of a day) by a stream of events, which come in files of any order, two to a batch, into a ledger table; the delay is longer than the span of their times, so none is late and no job is so old that it expires."""
     place = _scratch(spark)
-    rows = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(*[f"{e} AS {c}" for c, e in _EVENT.items()])
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    span = orders.agg(F.coalesce(F.min("o_orderkey"), F.lit(0)).alias("least"), F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("most")).first()
+    rows = orders.selectExpr(*[f"{e.format(least=span.least)} AS {c}" for c, e in _EVENT.items()])
     rows.repartition(4).write.parquet(f"{place}/events")
     events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{place}/events")
     table = state.state_table(spark, f"{place}/table")
     with state.rocks(spark):
-        state.keep(state.job_states(events, timedelta(days=100_000), "1000 days"), table, "jobs", f"{place}/checkpoint").awaitTermination()
-    return table.rows().select("job", (F.unix_timestamp("updated_at") - 86400).alias("updated_at"), "current_step", F.try_element_at("progress", F.lit("extract")).alias("extracted"))
+        state.keep(state.job_states(events, timedelta(days=100_000), f"{(span.most - span.least) // 1_000_000 + 86_400} seconds"), table, "jobs", f"{place}/checkpoint").awaitTermination()
+    return table.rows().select("job", (F.unix_micros("updated_at") - 86_400_000_000 + span.least).alias("updated_at"), "current_step", F.try_element_at("progress", F.lit("extract")).alias("extracted"))
 
 
 @query("SELECT o_custkey AS k, max(o_orderkey) AS o, arg_max(o_orderstatus, o_orderkey) AS v FROM orders GROUP BY 1")

@@ -59,15 +59,15 @@ class LedgerTable:
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def upsert(self, rows: DataFrame, query: str, batch: int, before_commit: Callable[[], None] = lambda: None) -> bool:
-        """Merge a batch; False if the ledger has it. Only the buckets that the batch touches are read and written."""
+        """Merge a batch, whose rows stand before equally new ones of the table; False if the ledger has it. Only the buckets that the batch touches are read and written."""
         entry = self.entry()
         if entry["batches"].get(query, -1) >= batch:
             return False
         fresh = rows.select(*self.spark.createDataFrame([], self.schema).columns)
         touched = sorted(r[0] for r in fresh.select(self._bucket().alias("b")).distinct().collect())  # at most `buckets` numbers
         if touched:
-            both = self.rows(entry, touched).unionByName(fresh)
-            newest = both.groupBy(self.key).agg(F.max_by(F.struct(*both.columns), self.order).alias("r")).select("r.*")
+            both = self.rows(entry, touched).withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+            newest = both.groupBy(self.key).agg(F.max_by(F.struct(*fresh.columns), F.struct(self.order, "_fresh")).alias("r")).select("r.*")
             to = f"data/{query}-{batch}"
             newest.withColumn("_bucket", self._bucket()).repartition(len(touched), "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.folder}/{to}")
             entry["buckets"] |= {str(b): f"{to}/_bucket={b}" for b in touched}

@@ -59,7 +59,7 @@ class JobState(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if step in ENDED:
-            self.handle.registerTimer(int((pd.Timestamp(at) + self.max_age).timestamp() * 1000))
+            self.handle.registerTimer((at + self.max_age - datetime(1970, 1, 1)) // timedelta(milliseconds=1))
         yield self._row(int(key[0]), step, at, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803, ANN001

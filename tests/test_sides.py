@@ -5,6 +5,7 @@ import pytest
 
 from factloom.operators import rollups
 from factloom.plans import catalogue
+from factloom.streaming.ledger import LedgerTable
 
 PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 
@@ -33,3 +34,28 @@ def test_of_several_first_rows_the_least_stands(spark, turn):
     rows = [(1, 7, 1, 3, 1, layer) for layer in ("figure", "llm_table", "llm_text")][::turn]
     facts = spark.createDataFrame(rows, "variant long, paper long, line long, carriers int, affected int, layer string").coalesce(1)
     assert [r.layer for r in rollups.variant_summary(facts, ["variant"], "paper", "carriers", "affected", "line", ["layer"]).collect()] == ["figure"]
+
+
+def swapped(monkeypatch, spark):
+    """Rows of a union in the other order, as a shuffle between machines may bring them."""
+    frame = type(spark.range(1))
+    union = frame.unionByName
+    monkeypatch.setattr(frame, "unionByName", lambda self, other: union(other, self))
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_later_batch_stands_before_equally_new_rows(spark, tmp_path, monkeypatch, turned):
+    table = LedgerTable(spark, f"file://{tmp_path}/table", "k long, o long, v string", "k", "o", 1)
+    if turned:
+        swapped(monkeypatch, spark)
+    for batch, rows in enumerate(([(1, 5, "a"), (2, 5, "a")], [(1, 5, "b"), (2, 4, "b")])):
+        table.upsert(spark.createDataFrame(rows, "k long, o long, v string").coalesce(1), "q", batch)
+    assert {r.k: r.v for r in table.rows().collect()} == {1: "b", 2: "a"}
+
+
+def test_job_state_of_far_keys(spark, tmp_path):
+    """Each later file is of days whose keys lie far before those of the first."""
+    from datetime import datetime, timedelta
+
+    rows = [(k + 10**9 * g, k % 3, "O", 1.0, datetime(1995, 1, 1) + timedelta(days=40 - g), "p") for g in range(40) for k in range(12)]
+    same(spark, "streamed_job_state", tmp_path, orders=(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"))
