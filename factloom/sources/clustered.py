@@ -9,14 +9,19 @@ keys down to their row groups.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Up to so many keys, and files, a lookup chooses its files on the driver; beyond it the whole table is joined.
 MOST_KEYS, MOST_FILES = 10_000, 1_000_000
 ROW_GROUP = 1 << 20
+#: Rows of a file: what one task sorts does not grow with the table.
+ROWS_A_FILE = 250_000
 
 
 @dataclass(frozen=True)
@@ -29,13 +34,29 @@ class Clustered:
     follow: str = "position"
 
     def write(self, rows: DataFrame, files: int | None = None) -> None:
-        """Range partitions by both keys, so a leading key of a third of the rows is many files; sorted within."""
+        """Range partitions by both keys, so a leading key of a third of the rows is many files; sorted within. Without `files` their number goes by the rows."""
         key = [F.col(self.lead), F.col(self.follow)]
-        dealt = rows.repartitionByRange(files, *key) if files else rows.repartitionByRange(*key)
+        files = files or max(1, -(-rows.count() // ROWS_A_FILE))
+        dealt = rows.repartitionByRange(files, *key)
         dealt.sortWithinPartitions(*key).write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(f"{self.folder}/rows")
-        at = F.struct(*key)
-        zone = self.rows().select(F.col("_metadata.file_path").alias("file"), at.alias("k")).groupBy("file").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
-        zone.write.mode("overwrite").parquet(f"{self.folder}/zones")
+        self._ends().groupBy("file").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{self.folder}/zones")
+
+    def _ends(self) -> DataFrame:
+        """First and last key of the rows of each file in an Arrow batch: they come in order, so that no task sorts the rows of its files by file."""
+
+        def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                runs = pc.run_end_encode(batch.column(0))
+                stops = runs.run_ends.to_pylist()
+                starts = [0, *stops[:-1]]
+                at = [batch.column(c).take(pa.array(rows)) for rows in (starts, [s - 1 for s in stops]) for c in (1, 2)]
+                yield pa.RecordBatch.from_arrays([runs.values, *at, pa.array([b - a for a, b in zip(starts, stops, strict=True)], pa.int64())], names=["file", "a", "b", "y", "z", "n"])
+
+        rows = self.rows().select(F.col("_metadata.file_path").alias("file"), self.lead, self.follow)
+        lead, follow = (rows.schema[c].dataType.simpleString() for c in (self.lead, self.follow))
+        said = rows.mapInArrow(ends, f"file string, a {lead}, b {follow}, y {lead}, z {follow}, n long")
+        key = lambda a, b: F.struct(F.col(a).alias(self.lead), F.col(b).alias(self.follow))
+        return said.select("file", key("a", "b").alias("first"), key("y", "z").alias("last"), "n")
 
     def rows(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/rows")

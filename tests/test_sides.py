@@ -5,6 +5,7 @@ import pytest
 
 from factloom.operators import rollups
 from factloom.plans import catalogue
+from factloom.sources import clustered
 from factloom.streaming.ledger import LedgerTable
 
 PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -59,3 +60,15 @@ def test_job_state_of_far_keys(spark, tmp_path):
 
     rows = [(k + 10**9 * g, k % 3, "O", 1.0, datetime(1995, 1, 1) + timedelta(days=40 - g), "p") for g in range(40) for k in range(12)]
     same(spark, "streamed_job_state", tmp_path, orders=(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"))
+
+
+def test_files_of_a_clustered_table_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clustered, "ROWS_A_FILE", 50)
+    for n in (100, 1000):
+        made = clustered.Clustered(spark, f"{tmp_path}/{n}")
+        made.write(spark.range(n).selectExpr("concat('g', id % 20) AS gene", "CAST(id AS INT) AS position"))
+        zones = made.zones().collect()
+        assert sum(z.n for z in zones) == n and max(z.n for z in zones) <= 150
+        for z in zones:
+            keys = [(r.gene, r.position) for r in spark.read.parquet(z.file).collect()]
+            assert (min(keys), max(keys), len(keys)) == (tuple(z["first"]), tuple(z["last"]), z.n)
