@@ -22,6 +22,15 @@ def folder_of(spark: SparkSession) -> str:
     return folder
 
 
+#: Rows of a partition of dealt().
+ROWS_A_TASK = 250_000
+
+
+def dealt(frame: DataFrame, *keys: str) -> DataFrame:
+    """The rows by hash of their keys, in as many partitions as their number asks for: aggregates and joins on the keys need no other shuffle, and what a task holds does not grow with the table."""
+    return frame.repartition(max(1, -(-frame.count() // ROWS_A_TASK)), *keys)
+
+
 def fixed(frame: DataFrame) -> DataFrame:
     """The rows by way of a table in the shared folder; it is there until discard() or exit."""
     spark = frame.sparkSession

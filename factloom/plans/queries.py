@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import counts, links, text
-from factloom.operators import relational, scoring, trust
+from factloom.operators import relational, scoring, shared, trust
 from factloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,7 +63,7 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compared(spark: SparkSession, sf: str) -> DataFrame:
-    rows = facts(spark, sf)
+    rows = shared.dealt(facts(spark, sf), "supplier", "variant")
     gold = scoring.aggregate_counts(rows.where("line <= 4 AND supplier % 3 <> 0"), ["supplier", "variant"], layer="layer")
     found = scoring.aggregate_counts(rows.where("line >= 3"), ["supplier", "variant"], layer="layer")
     return scoring.compare(gold.drop("layer"), found, ["supplier", "variant"])

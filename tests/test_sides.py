@@ -72,3 +72,14 @@ def test_files_of_a_clustered_table_grow_in_number_not_in_size(spark, tmp_path,
         for z in zones:
             keys = [(r.gene, r.position) for r in spark.read.parquet(z.file).collect()]
             assert (min(keys), max(keys), len(keys)) == (tuple(z["first"]), tuple(z["last"]), z.n)
+
+
+def test_compared_rows_are_dealt_by_their_number(spark, monkeypatch):
+    from factloom.operators import shared
+    from factloom.plans.queries import compared
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(shared, "ROWS_A_TASK", 500)  # sf0.001 has 6,000 lines
+    rows = compared(spark, "/root/testdata/sf0.001")
+    sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 12 and max(r["count"] for r in sizes) < 1000
