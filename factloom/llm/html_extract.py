@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,8 +49,8 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: the rule of succession the next page has that text too with so much certainty, which no host of a few pages can give.
 CONSTANT = 0.95
 CERTAIN = 0.9
-#: Nodes of a tree that is matched with others.
-MOST_NODES = 400
+#: What a matching holds at once: weights of pairs of shapes, and cells of one pair of lists. Beyond it they are computed again.
+HELD_WEIGHTS, HELD_CELLS = 500_000, 4 << 20
 
 
 class Page:
@@ -247,7 +249,7 @@ class Page:
                     i += 1
             for m, name, at in later:
                 todo.append((m, name, _Slot(own[3], at)))
-        return bounded(top[0])
+        return top[0]
 
 
 class _Slot:
@@ -262,87 +264,139 @@ class _Slot:
         self.rows[self.at] = value
 
 
-def bounded(tree: list, most: int = MOST_NODES) -> list:
-    """The tree with at most `most` nodes, for matching takes the product of two sizes.
+class _Matching:
+    """Weights of pairs of nodes of two trees. They depend on the nodes' shapes alone (key, and shapes of what is below), so nodes of one shape are weighed once.
 
-    In a run of siblings of one shape (key, and shapes of what is below) only
-    the first and last stand alone. What is then still too large ends at the
-    deepest level down to which it is not; text below counts for the node above.
+    Generators ask for the weights they need, so depth is no limit. A weight
+    asks for those of its children row by row; what is known of others only
+    saves time and may be forgotten, so memory is bounded for any size.
     """
-    nodes = number(tree)
-    if len(nodes) <= most:
-        return tree
-    shape: dict[int, int] = {}
-    for node in reversed(nodes):
-        below = node[3]
-        kept, i = [], 0
-        while i < len(below):
-            j = i
-            while j < len(below) and shape[id(below[j])] == shape[id(below[i])]:
-                j += 1
-            if j - i > 2:
-                middle = below[i + 1 : j - 1]
-                last = [f"{below[j - 1][0]}$", *below[j - 1][1:]]
-                kept += [below[i], [f"{below[i][0]}+", *_summed(middle), []], last]
-            else:
-                kept += below[i:j]
-            i = j
-        shape[id(node)] = hash((node[0], *(shape[id(c)] for c in below)))
-        node[3] = kept
-    level, size = [tree], 1
-    while True:
-        below = [c for node in level for c in node[3]]
-        if not below:
-            return tree
-        if size + len(below) > most:
-            break
-        level, size = below, size + len(below)
-    for node in level:
-        node[1:] = [*_summed([node]), []]
-    return tree
 
+    def __init__(self, a: list, b: list):
+        self.shapes: list[tuple[str, tuple[int, ...], int]] = []  # key, shapes below, nodes
+        self.of: dict[int, int] = {}
+        self.weights: dict[tuple[int, int], int] = {}
+        known: dict[tuple[str, tuple[int, ...]], int] = {}
+        for node in [*reversed(number(a)), *reversed(number(b))]:
+            own = node[0], tuple([self.of[id(c)] for c in node[3]])
+            if own not in known:
+                known[own] = len(self.shapes)
+                self.shapes.append((*own, 1 + sum(self.shapes[c][2] for c in own[1])))
+            self.of[id(node)] = known[own]
+
+    def _run(self, asking: Generator):
+        stack, out = [asking], None
+        while stack:
+            try:
+                pair = stack[-1].send(out)
+            except StopIteration as end:
+                stack.pop()
+                out = end.value
+            else:
+                stack.append(self._weigh(*pair))
+                out = None
+        return out
 
-def _summed(nodes: list[list]) -> tuple[int, int]:
-    """Hash and length of all text in some trees."""
-    every = [n for node in nodes for n in number(node)]
-    return zlib.crc32(repr([n[1] for n in every]).encode()), sum(n[2] for n in every)
+    @staticmethod
+    def _alike(xs: tuple[int, ...], ys: tuple[int, ...]) -> int:
+        """How many of the last are of one shape: of such two at the end no other pairing weighs more."""
+        n = 0
+        while n < len(xs) and n < len(ys) and xs[-1 - n] == ys[-1 - n]:
+            n += 1
+        return n
+
+    def _weigh(self, s: int, t: int) -> Generator:
+        xs, ys = self.shapes[s][1], self.shapes[t][1]
+        n = self._alike(xs, ys)
+        total = 1 + sum(self.shapes[c][2] for c in xs[len(xs) - n :])
+        xs, ys = xs[: len(xs) - n], ys[: len(ys) - n]
+        if xs and ys:
+            row, known = self._first(ys), {}
+            for c in xs:
+                row, _ = yield from self._row(c, ys, row, known)
+            total += int(row[-1])
+        if len(self.weights) >= HELD_WEIGHTS:
+            self.weights.clear()
+        self.weights[s, t] = total
+        return total
+
+    @staticmethod
+    def _first(ys: tuple[int, ...]):
+        return [0] * (len(ys) + 1) if len(ys) < 64 else np.zeros(len(ys) + 1, np.int64)
+
+    def _row(self, c: int, ys: tuple[int, ...], above, known: dict) -> Generator:
+        """The most that can be paired up to c with the first of ys, and the last step to each: 2 a pair, 1 to the left, 0 up."""
+        own = known.get(c)
+        if own is None:
+            own, (key, below, _) = [], self.shapes[c]
+            for d in ys:
+                other = self.shapes[d]
+                weight = other[2] if c == d else -(1 << 40) if key != other[0] else 1 if not (below and other[1]) else self.weights.get((c, d))
+                if weight is None:
+                    weight = yield c, d
+                own.append(weight)
+            if len(ys) >= 64:
+                own = np.array(own, np.int64)
+            if len(known) * len(ys) >= HELD_CELLS:
+                known.clear()
+            known[c] = own
+        if len(ys) >= 64:
+            best = above[:-1] + own
+            row = np.append(0, np.maximum.accumulate(np.maximum(best, above[1:])))
+            return row, np.where(best == row[1:], 2, row[:-1] == row[1:]).astype(np.uint8)
+        row, went = [0], bytearray()
+        for j, weight in enumerate(own):
+            best = above[j] + weight
+            most = max(best, row[j], above[j + 1])
+            went.append(2 if best == most else 1 if row[j] == most else 0)
+            row.append(most)
+        return row, went
+
+    def below(self, x: list, y: list) -> list[tuple[list, list]]:
+        """The pairs of children of two paired nodes. Steps are kept for a block of rows at a time, of the others the first row."""
+        xs, ys = self.shapes[self.of[id(x)]][1], self.shapes[self.of[id(y)]][1]
+        n = self._alike(xs, ys)
+        i, j = len(xs) - n, len(ys) - n
+        out = list(zip(x[3][i:], y[3][j:], strict=True))
+        if not i or not j:
+            return out
+        ys, known = ys[:j], {}
+        height = max(HELD_CELLS // j, math.isqrt(i) + 1)
+        heads = [self._first(ys)]
+        row = heads[0]
+        for k in range((i - 1) // height * height):
+            row, _ = self._run(self._row(xs[k], ys, row, known))
+            if (k + 1) % height == 0:
+                heads.append(row)
+        for block in reversed(range(len(heads))):
+            row, moves, first = heads[block], [], block * height
+            for k in range(first, i):
+                row, went = self._run(self._row(xs[k], ys, row, known))
+                moves.append(went)
+            while i > first and j:
+                move = moves[i - 1 - first][j - 1]
+                if move == 2:
+                    out.append((x[3][i - 1], y[3][j - 1]))
+                i, j = i - (move != 1), j - (move != 0)
+            if not j:
+                break
+        return out
 
 
 def match_trees(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
-    """Simple tree matching: the most nodes that can be paired in order under paired parents, and the pairs."""
+    """Simple tree matching: the most nodes that can be paired in order under paired parents, and the pairs; exact for trees of any size."""
     if a[0] != b[0]:
         return 0, []
-    known: dict[tuple[int, int], tuple[int, list[bytearray]]] = {}
-    todo = [(a, b, True)]
+    matching = _Matching(a, b)
+    pairs, todo = [], [(a, b)]
     while todo:
-        x, y, new = todo.pop()
-        left, right = x[3], y[3]
-        if new and left and right:
-            todo.append((x, y, False))
-            todo += [(c, d, True) for c in left for d in right if c[0] == d[0]]
-            continue
-        above, moves = [0] * (len(right) + 1), []
-        for c in left if right else ():
-            row, went = [0], bytearray()
-            for j, d in enumerate(right):
-                best = above[j] + known[id(c), id(d)][0] if c[0] == d[0] else -1
-                most = max(best, row[j], above[j + 1])
-                went.append(2 if best == most else 1 if row[j] == most else 0)
-                row.append(most)
-            above = row
-            moves.append(went)
-        known[id(x), id(y)] = above[-1] + 1, moves
-    pairs, trace = [], [(a, b)]
-    while trace:
-        x, y = trace.pop()
-        pairs.append((x, y))
-        moves, i, j = known[id(x), id(y)][1], len(x[3]), len(y[3])
-        while moves and i and j:
-            move = moves[i - 1][j - 1]
-            if move == 2:
-                trace.append((x[3][i - 1], y[3][j - 1]))
-            i, j = i - (move != 1), j - (move != 0)
-    return known[id(a), id(b)][0], pairs
+        x, y = todo.pop()
+        if matching.of[id(x)] == matching.of[id(y)]:
+            pairs += zip(number(x), number(y), strict=True)
+        else:
+            pairs.append((x, y))
+            todo += matching.below(x, y)
+    return len(pairs), pairs
 
 
 def number(tree: list) -> list[list]:
@@ -431,9 +485,21 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(trees, pa.string())], names=["_host", "_order", "_tree"])
 
 
+#: Sums that a task holds before it hands them on.
+SAID = 200_000
+
+
 def _say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each page says of its host's reference nodes, summed within a batch."""
+    """What each page says of its host's reference nodes, summed over SAID sums or a batch."""
     known: tuple[str, list, dict[int, int]] = ("", [], {})
+
+    def sums(said: dict[tuple[str, int, int], list[int]]) -> pa.RecordBatch:
+        keys, values = list(said), list(said.values())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), *(pa.array([k[n] for k in keys], pa.int64()) for n in (1, 2)), *(pa.array([v[n] for v in values], pa.int64()) for n in (0, 1, 2))],
+            names=["_host", "_node", "_hash", "_n", "_chars", "_extra"],
+        )
+
     for batch in batches:
         said: dict[tuple[str, int, int], list[int]] = {}
         for host, tree, reference in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -449,11 +515,10 @@ def _say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x[0] += 1
                 x[1] += theirs[2]
                 x[2] += more.get(id(theirs), 0)
-        keys, sums = list(said), list(said.values())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), *(pa.array([k[n] for k in keys], pa.int64()) for n in (1, 2)), *(pa.array([s[n] for s in sums], pa.int64()) for n in (0, 1, 2))],
-            names=["_host", "_node", "_hash", "_n", "_chars", "_extra"],
-        )
+            if len(said) >= SAID:
+                yield sums(said)
+                said = {}
+        yield sums(said)
 
 
 def _induce(said: pd.DataFrame, references: pd.DataFrame) -> pd.DataFrame:
@@ -469,8 +534,10 @@ def _induce(said: pd.DataFrame, references: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_host": [references["_host"].iloc[0]], "_wrapper": [json.dumps(wrapper)]})
 
 
-#: So many wrappers, each under 10 kB, are broadcast; more are joined by a shuffle dealt over salts.
-MAX_BROADCAST = 2000
+#: Wrappers of so many characters in all are broadcast; more are joined by a shuffle dealt over salts.
+MAX_BROADCAST = 20_000_000
+#: Characters of the wrappers that a task keeps read.
+MAX_KNOWN = 10_000_000
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -491,7 +558,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     by_text = said.groupBy("_host", "_node", "_hash").agg(F.sum("_n").alias("_n"), F.sum("_chars").alias("_chars"), F.sum("_extra").alias("_extra"))
     by_node = by_text.groupBy("_host", "_node").agg(F.sum("_n").alias("_n"), F.max("_n").alias("_most"), F.count(F.lit(1)).alias("_unlike"), F.sum("_chars").alias("_chars"), F.sum("_extra").alias("_extra"), F.max_by("_hash", F.struct("_n", "_hash")).alias("_common"))
     wrappers = cut(by_node.groupBy("_host").cogroup(references.groupBy("_host")).applyInPandas(_induce, "_host string, _wrapper string"))
-    if wrappers.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+    if (wrappers.agg(F.sum(F.length("_wrapper") + F.length("_host"))).first()[0] or 0) <= MAX_BROADCAST:
         dressed = rows.join(F.broadcast(wrappers), "_host", "left")
     else:
         dressed = skewed_join(rows, wrappers, "_host", "left")
@@ -499,13 +566,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
+        held = 0
         for batch in batches:
             texts = []
             for source, wrapper in zip(batch.column(2), batch.column(3), strict=True):
                 wrapper = wrapper.as_py()
                 if wrapper and wrapper not in known:
-                    known = known if len(known) < 1000 else {}
+                    if held > MAX_KNOWN:
+                        known, held = {}, 0
                     known[wrapper] = json.loads(wrapper)
+                    held += len(wrapper)
                 texts.append(Page(source.as_py()).text(known[wrapper] if wrapper else None))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_col, url_col, "text"])
 

@@ -680,3 +680,29 @@ def test_html_copies_do_not_make_a_template_of_an_article(spark):
         for r in found:
             k = f"{host}x{max(0, r.page_id - 399)}"
             assert f"heading {k} of" in r.text and f"passage {k} 1" in r.text and "site menu" not in r.text
+
+
+def test_large_trees_are_matched_whole(spark, monkeypatch):
+    """What varies and what is constant is told in pages of over a thousand nodes as in small ones, at any depth and in the middle of a run."""
+    rng = random.Random(31)
+    kinds = ("<div class=a><p>{0}</p></div>", "<div class=b><h3>{0}</h3><p>{0} more</p></div>", "<ul class=c><li>{0}</ul>", "<div class=d><div><blockquote>{0}</blockquote></div></div>")
+    note = "<div class=n><div><div><p>Read this in peace</p></div></div></div>"
+
+    order = [rng.choice(kinds) for _ in range(420)]
+
+    def page(i):
+        parts = [order[k].format(f"words {i} {k}") for k in range(400 + i)]
+        return "<body><div class=z>" + "".join([*parts[:200], note, *parts[200:]]) + "</div></body>"
+
+    pages = [(i, f"http://large.example/{i}", page(i)) for i in range(12)]
+    assert all(len(html_extract.number(html_extract.Page(p).tree())) > 1000 for _, _, p in pages)
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, text in found.items():
+        assert "peace" not in text and all(f"words {i} {k}" in text for k in range(400 + i))
+    # What is forgotten is computed again: the same pairs.
+    a, b = (html_extract.Page(p).tree() for _, _, p in pages[:2])
+    weight, pairs = html_extract.match_trees(a, b)
+    monkeypatch.setattr(html_extract, "HELD_WEIGHTS", 5)
+    monkeypatch.setattr(html_extract, "HELD_CELLS", 1000)
+    again = html_extract.match_trees(a, b)
+    assert again[0] == weight and {(id(x), id(y)) for x, y in again[1]} == {(id(x), id(y)) for x, y in pairs}
