@@ -25,6 +25,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -49,16 +50,6 @@ WORDS = 400_000
 BROADCAST_FILES = 500_000
 
 _LENGTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
-_BYTES = _LENGTHS.sum(1).astype(np.int64)
-#: For each control byte, where in the bytes of its four ranks the 16 bytes of four whole numbers are, and which of them are there at all.
-_PLACE = np.zeros((256, 16), np.int64)
-_THERE = np.zeros((256, 16), np.uint8)
-for _c in range(256):
-    _at = 0
-    for _i in range(4):
-        for _b in range(int(_LENGTHS[_c, _i])):
-            _PLACE[_c, 4 * _i + _b], _THERE[_c, 4 * _i + _b] = _at, 1
-            _at += 1
 
 #: The letter that stands for each byte in the vocabulary: itself if it is one that can be seen, else the next of those beyond Latin-1.
 _SEEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -72,19 +63,26 @@ def coded(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(ranks)] = short - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    return control.astype(np.uint8).tobytes(), ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < short[:, None]].tobytes()
+    at = np.cumsum(short, dtype=np.int64) - short
+    data = np.empty(int(short.sum(dtype=np.int64)), np.uint8)
+    data[at] = ranks & 0xFF
+    longer = np.flatnonzero(short > 1)
+    for k in range(1, 4):
+        data[at[longer] + k] = ranks[longer] >> np.uint32(8 * k) & 0xFF
+        longer = longer[short[longer] > k + 1]
+    return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def decoded(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The `n` numbers back, by lookup in tables of 256 rows: places of the bytes, and a mask."""
-    out = np.empty(len(control) * 4, np.uint32)
-    before = np.cumsum(_BYTES[control]) - _BYTES[control]
-    data = np.append(data, np.zeros(16, np.uint8))
-    for start in range(0, len(control), 1 << 16):  # the places take 32 bytes an id
-        part = control[start : start + (1 << 16)]
-        whole = data[before[start : start + (1 << 16), None] + _PLACE[part]] * _THERE[part]
-        out[4 * start : 4 * (start + len(part))] = whole.view("<u4").ravel()
-    return out[:n]
+    """The `n` numbers back: the lowest byte of each, then the others of those that have more."""
+    sizes = _LENGTHS[control].ravel()[:n]
+    at = np.cumsum(sizes, dtype=np.int64) - sizes
+    out = data[at].astype(np.uint32)
+    longer = np.flatnonzero(sizes > 1)
+    for k in range(1, 4):
+        out[longer] |= data[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+        longer = longer[sizes[longer] > k + 1]
+    return out
 
 
 def block_bytes(part: int, number: int, before: int, keys: list, lengths: list[int], ids: np.ndarray) -> bytes:
@@ -135,6 +133,40 @@ def block_rows(block: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
         yield None if null[i] else int(keys[i]), before + first, ids[first : int(ends[i])]
 
 
+class _Words(dict):
+    """Ids of words, asked of the library's model at the first sight of each. Words of the last generation are moved, not asked for again."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.before = model.tokenize, {}
+
+    def __missing__(self, word: str) -> bytes:
+        own = self.before.get(word)
+        if own is None:  # the model takes a word's bytes as letters
+            letters = word.replace(" ", _SPACE) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_LETTERS)
+            found = self.tokenize(letters)
+            own = _one(found[0].id) if len(found) == 1 else array("I", [t.id for t in found]).tobytes()
+        self[word] = own
+        return own
+
+    def age(self) -> None:
+        if len(self) > WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+
+
+_SPACE = chr(_LETTERS[0x20])
+_one = Struct("<I").pack
+
+
+def _class(pattern: str) -> str:
+    """The characters that texts split here may have and that the pattern takes, as ranges: a set of characters is searched faster than one of categories."""
+    takes = [c for c in (*range(0x80), *range(0xA0, 0x250)) if re.fullmatch(pattern, chr(c))]
+    firsts = [c for c in takes if c - 1 not in takes]
+    lasts = [c for c in takes if c + 1 not in takes]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts, strict=True))
+
+
 class Encoder:
     """Ids by the tokenizers library. Words come apart by the vocabulary's own pattern, and the library is asked once for each word.
 
@@ -143,39 +175,30 @@ class Encoder:
     than Python beyond Latin, so texts with either go to it whole.
     """
 
-    _word = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-    _other = re.compile(r"[^\t-\r -~\xa0-ɏ]|[\xb2\xb3\xb9\xbc-\xbe]|<\|")
-    _controls = re.compile(r"[\x1c-\x1f]")
+    _word = re.compile(rf" ?[{_class(r'[^\W\d_]')}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[{_class(r'[^\s\w]|_')}]+|\s+(?!\S)|\s+")
+    _other = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
+    _controls = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, folder: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(f"{folder}/{VOCABULARY}")
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known = _Words(self.tokenizer.model)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words from the library's model, which takes a word's bytes as letters. Words of the last generation are moved, not asked for again."""
-        space, tokenize = chr(_LETTERS[0x20]), self.model.tokenize
-        for w in words:
-            own = self.before.get(w)
-            if not own:
-                letters = w.replace(" ", space) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
-                own = array("I", [t.id for t in tokenize(letters)]).tobytes()
-            self.known[w] = own
+    def _split(self, text: str) -> bool:
+        """Whether a text may be split here."""
+        if text.isascii():
+            return not any(c in text for c in self._controls) and "<|" not in text
+        return "<|" not in text and not self._other.search(text)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then the end id."""
-        end = np.array([END_ID], "<u4").tobytes()
-        split = [None if (("<|" in t or self._controls.search(t)) if t.isascii() else self._other.search(t)) else self._word.findall(t) for t in texts]
-        if len(self.known) > WORDS // 2:
-            self.before, self.known = self.known, {}
-        self._learn([w for w in {w for words in split if words for w in words} if w not in self.known])
-        parts = (self._whole(t) if words is None else b"".join([self.known[w] for w in words]) for t, words in zip(texts, split, strict=True))
+        end, words, ids = _one(END_ID), self._word.findall, self.known.__getitem__
+        self.known.age()
+        parts = (b"".join(map(ids, words(t))) if self._split(t) else self._whole(t) for t in texts)
         return [np.frombuffer(p + end, "<u4") for p in parts]
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import tempfile
 import zlib
 
@@ -108,6 +109,23 @@ def test_numbers_come_back_from_control_and_data():
         assert len(control) == -(-n // 4) and len(data) == sum(max(1, (int(v).bit_length() + 7) // 8) for v in x)
 
 
+def test_words_come_apart_as_by_the_public_pattern_and_are_asked_once(monkeypatch):
+    """Sets of characters instead of categories part the same words; the model is asked at a word's first sight only, as long as generations hold it."""
+    public = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    encoder, asked, rng = token_file.Encoder(packing.default_folder()), [], random.Random(4)
+    own = encoder.known.tokenize
+    monkeypatch.setattr(encoder.known, "tokenize", lambda w: asked.append(w) or own(w))
+    letters = [chr(c) for c in (*range(0x80), *range(0xA0, 0x250))]
+    texts = ["".join(rng.choice(letters if rng.random() < 0.5 else " 'st_a9\n.") for _ in range(rng.randrange(14))) for _ in range(5000)]
+    split = [t for t in texts if encoder._split(t)]
+    assert len(split) > 2000 and all(public.findall(t) == encoder._word.findall(t) for t in split)
+    assert not any(encoder._split(t) for t in ("a<|b", "\x1c", "é\x1d", "½", "x²", "漢", "\x85"))
+    monkeypatch.setattr(token_file, "WORDS", 4)
+    for _ in range(3):
+        encoder.ids(["süß der Tag", "der Tag"])
+    assert len(asked) == len(set(asked)) == 4
+
+
 def test_words_have_the_ids_of_the_tokenizer():
     rng = random.Random(3)
     alphabet = "abcXYZ  \n\t\r'0123456789.,;:_-#ßéÀÿŁǅʼ²³¹¼×÷ªº \x1c\x1f\x85\x00\x7f漢字 👍́ɏɐ'"
