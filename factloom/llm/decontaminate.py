@@ -23,13 +23,22 @@ LEAST = 40
 #: Any stretch of an item of this many bytes (about 13 words) is searched, wherever it starts.
 STRETCH = 80
 
+#: Entries of the index that a text's stretches are searched with at once; one stretch may have more.
+MOST_ENTRIES = 1 << 22
+
 _GAPS = re.compile(r"[\W_]+")
+#: The same for texts of Latin-1: each byte itself, or a space.
+_LATIN = bytes(32 if _GAPS.match(chr(c)) else c for c in range(256))
 _Q_BITS = 21
 
 
 def normalise(text: str) -> str:
     """Lower case; each run of what is no letter or digit is one space."""
-    return _GAPS.sub(" ", text.lower()).strip()
+    low = text.lower()
+    try:
+        return b" ".join(low.encode("latin-1").translate(_LATIN).split()).decode("latin-1")
+    except UnicodeEncodeError:
+        return _GAPS.sub(" ", low).strip()
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -107,43 +116,46 @@ class Index:
         if self.items:
             classes[-1] = (STRETCH + self.stretch_edits, self.stretch_needed)
             self.span = max(self.span, STRETCH + self.stretch_edits)
-        self.classes = list(classes.values())
+        # What another, as long and with as few, marks as well need not be asked.
+        told = set(classes.values())
+        self.classes = sorted(c for c in told if not any(o != c and o[0] >= c[0] and o[1] <= c[1] for o in told))
 
-    def dense(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """Stretches that can hold a match: those where as many q-grams of the index stand together as some passage needs."""
+    def dense(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Stretches that can hold a match (firsts, ends): those where as many q-grams of the index stand together as some passage needs; and the q-grams in them (places, grams)."""
+        none = np.zeros(0, np.int64)
         grams = _grams(data)
-        hits = self._outside_runs(grams, self.bitmap[_slot(grams, self.bits)]) if len(grams) else np.zeros(0, bool)
-        total = np.concatenate([[0], np.cumsum(hits, dtype=np.int64)])
-        at = np.flatnonzero(hits)
-        so_far = np.arange(len(at))
+        at = np.flatnonzero(self._outside_runs(grams, self.bitmap[_slot(grams, self.bits)])) if len(grams) else none
         marks = np.zeros(len(at), bool)
-        for span, needed in self.classes:
-            marks |= total[np.minimum(at + span, len(hits))] - so_far >= needed
-        at = at[marks]
-        if not len(at):
-            return []
-        breaks = np.flatnonzero(np.diff(at) > self.span) + 1
-        firsts, lasts = at[np.concatenate([[0], breaks])], at[np.concatenate([breaks - 1, [len(at) - 1]])]
-        return [(int(a), min(int(b) + self.span + Q, len(data))) for a, b in zip(firsts, lasts, strict=True)]
+        for span, needed in self.classes:  # the last of so many, from each on, stands within the span
+            if len(at) >= needed:
+                marks[: len(at) - needed + 1] |= at[needed - 1 :] - at[: len(at) - needed + 1] < span
+        dense = at[marks]
+        if not len(dense):
+            return none, none, none, grams[:0]
+        breaks = np.flatnonzero(np.diff(dense) > self.span) + 1
+        firsts, lasts = dense[np.append(0, breaks)], dense[np.append(breaks - 1, len(dense) - 1)]
+        ends = np.minimum(lasts + self.span + Q, len(data))
+        which = np.searchsorted(firsts, at, side="right") - 1
+        at = at[(which >= 0) & (at + Q <= ends[which])]
+        return firsts, ends, at, grams[at]
 
     def matches(self, data: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item, passage start, start, end, edits) of the best match of each passage found in a normalised text, then of stretches elsewhere and of short items."""
         best: dict[int, tuple[int, int, int]] = {}
         raw = data.tobytes()
-        dense, found_grams = self.dense(data), []
-        for lo, hi in dense:
-            at, key = self.lookup(data[lo:hi])
-            if self.items:
-                found_grams.append((at, key))
-            where, entry = self.entries(at, key, 0)
-            enough = np.bincount(self.owner[entry], minlength=len(self.passages)) >= self.needed
-            entry, where = entry[enough[self.owner[entry]]], where[enough[self.owner[entry]]]
-            if not len(entry):
-                continue
-            for which in np.flatnonzero(enough).tolist():  # a literal occurrence needs no alignment
-                at = raw.find(self.passages[which].data.tobytes(), lo, hi)
-                if at >= 0:
-                    best[which] = (0, at, at + len(self.passages[which].data))
+        firsts, ends, at, grams = self.dense(data)
+        if len(at):
+            key = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+            same = self.keys[key] == grams
+            at, key = at[same], key[same]
+            which = np.searchsorted(firsts, at, side="right") - 1
+        for k, entry, where in self.crowded(at, key, which, 0, self.owner, self.needed) if len(at) else ():
+            lo, hi = int(firsts[k]), int(ends[k])
+            where = where - lo
+            for p in np.unique(self.owner[entry]).tolist():  # a literal occurrence needs no alignment
+                begin = raw.find(self.passages[p].data.tobytes(), lo, hi)
+                if begin >= 0:
+                    best[p] = (0, begin, begin + len(self.passages[p].data))
             owner, diagonal = self.owner[entry], where - self.place[entry] + self.span
             # bands of 2 * width diagonals, each overlapping the next by width: any width + 1 neighbours share one
             width = max(p.edits for p in self.passages) + 1
@@ -153,21 +165,45 @@ class Index:
                 # one place of a passage counts once in a band
                 seen = np.unique(which_band.astype(np.int64) << 32 | self.place[entry])
                 counts = np.bincount(seen >> 32, minlength=len(found))
-                for key, n in zip(found.tolist(), counts.tolist(), strict=True):
-                    which, b = key >> 40, key & ((1 << 40) - 1)
-                    passage = self.passages[which]
-                    if n < passage.needed or best.get(which, (1 << 30,))[0] == 0:
+                for pair, n in zip(found.tolist(), counts.tolist(), strict=True):
+                    p, b = pair >> 40, pair & ((1 << 40) - 1)
+                    passage = self.passages[p]
+                    if n < passage.needed or best.get(p, (1 << 30,))[0] == 0:
                         continue
                     first = lo + b * 2 * width - shift - self.span
                     hit = align(passage.data, data, first, 2 * width, passage.edits)
-                    if hit and hit[0] < best.get(which, (1 << 30,))[0]:
-                        best[which] = hit
+                    if hit and hit[0] < best.get(p, (1 << 30,))[0]:
+                        best[p] = hit
         out = [(self.passages[w].item, self.passages[w].start, s, e, d) for w, (d, s, e) in sorted(best.items())]
-        if self.items:
-            for (lo, _), (at, key) in zip(dense, found_grams, strict=True):
-                self.stretches(data, raw, lo, at, key, out)
+        if self.items and len(at):
+            needed = np.full(len(self.items), self.stretch_needed, np.int64)
+            for k, entry, where in self.crowded(at, key, which, 1, self.item_owner, needed):
+                self.stretches(data, raw, int(firsts[k]), where - firsts[k], entry, out)
         return out + self.short_items(raw) if self.short else out
 
+    def crowded(self, at: np.ndarray, key: np.ndarray, which: np.ndarray, table: int, owner: np.ndarray, needed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of each stretch the entries, with their places in the text, of the passages (0) or items (1) that have as many there as they need."""
+        count = self.ranges[table][1][key]
+        if count.sum() > MOST_ENTRIES and which[0] < which[-1]:  # some stretches after the others
+            half = int(np.searchsorted(which, (which[0] + which[-1] + 1) // 2))
+            for part in (slice(half), slice(half, None)):
+                yield from self.crowded(at[part], key[part], which[part], table, owner, needed)
+            return
+        where, entry = self.entries(at, key, table)
+        first, stretches, n = int(which[0]), int(which[-1] - which[0]) + 1, len(needed)
+        pair = np.repeat(which - first, count) * n + owner[entry]
+        if stretches * n <= 1 << 20:
+            keep = (np.bincount(pair, minlength=stretches * n) >= np.tile(needed, stretches))[pair]
+        else:
+            pairs, back, counts = np.unique(pair, return_inverse=True, return_counts=True)
+            keep = (counts >= needed[pairs % n])[back]
+        if not keep.any():
+            return
+        pair, entry, where = first + pair[keep] // n, entry[keep], where[keep]
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(pair)], strict=True):
+            yield int(pair[a]), entry[a:b], where[a:b]
+
     def _outside_runs(self, grams: np.ndarray, hits: np.ndarray) -> np.ndarray:
         """Hits without those deep inside a run of one character.
 
@@ -175,36 +211,23 @@ class Index:
         match that holds more than the run's character reaches one of its ends,
         so places further than the longest match from both ends say nothing new.
         """
+        some = grams[:: self.span + Q]  # a run so long holds two of these that follow each other
+        if not (some[1:] == some[:-1]).any():
+            return hits
         ends = np.flatnonzero(np.append(grams[1:] != grams[:-1], True))
         starts = np.append(0, ends[:-1] + 1)
         for a, b in zip(*(x[ends - starts > 2 * (self.span + Q)].tolist() for x in (starts, ends)), strict=True):
             hits[a + self.span + Q : b - self.span - Q] = False
         return hits
 
-    def lookup(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where q-grams of the index stand, and which."""
-        grams = _grams(data)
-        at = np.flatnonzero(self._outside_runs(grams, self.bitmap[_slot(grams, self.bits)])) if len(grams) else np.zeros(0, np.int64)
-        key = np.minimum(np.searchsorted(self.keys, grams[at]), max(0, len(self.keys) - 1))
-        same = self.keys[key] == grams[at]
-        return at[same], key[same]
-
     def entries(self, at: np.ndarray, key: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
         """The entries of passages (0) or items (1) for q-grams found, with their places."""
         left, count = (x[key] for x in self.ranges[table])
         where = np.repeat(at, count)
         return where, np.arange(len(where)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(left, count)
 
-    def stretches(self, data: np.ndarray, raw: bytes, lo: int, at: np.ndarray, key: np.ndarray, out: list[tuple[int, int, int, int, int]]) -> None:
-        """Adds the stretches of items that do not overlap a match of the same item; q-grams stand at places counted from lo."""
-        if len(at) < self.stretch_needed:
-            return
-        where, entry = self.entries(at, key, 1)
-        enough = np.bincount(self.item_owner[entry], minlength=len(self.items)) >= self.stretch_needed
-        keep = enough[self.item_owner[entry]]
-        entry, where = entry[keep], where[keep]
-        if not len(entry):
-            return
+    def stretches(self, data: np.ndarray, raw: bytes, lo: int, where: np.ndarray, entry: np.ndarray, out: list[tuple[int, int, int, int, int]]) -> None:
+        """Adds the stretches of items that do not overlap a match of the same item; entries of items stand at places counted from lo."""
         owner, place = self.item_owner[entry].astype(np.int64), self.item_place[entry]
         offset = len(max((d for _, d in self.items), key=len))
         diagonal, width, last = where - place + offset, self.stretch_edits + 1, self.stretch_needed - 1

@@ -706,3 +706,23 @@ def test_large_trees_are_matched_whole(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "HELD_CELLS", 1000)
     again = html_extract.match_trees(a, b)
     assert again[0] == weight and {(id(x), id(y)) for x, y in again[1]} == {(id(x), id(y)) for x, y in pairs}
+
+
+def test_texts_are_searched_at_once_as_stretch_by_stretch(monkeypatch):
+    """Latin-1 texts are normalised by bytes as others by the pattern; stretches together find what each alone does, literal and edited."""
+    rng = random.Random(17)
+    say = lambda n: " ".join(rng.choice(("süd", "nord", "the", "of", "west", "and")) + str(rng.randrange(30)) for _ in range(n))
+    for _ in range(3000):
+        text = "".join(chr(rng.randrange(0x100)) if rng.random() < 0.9 else rng.choice("漢İẞ“— ǅ") for _ in range(rng.randrange(9)))
+        assert decontaminate.normalise(text) == re.sub(r"[\W_]+", " ", text.lower()).strip()
+    items = [(k, say(60)) for k in range(12)]
+    index = decontaminate.Index(items, decontaminate.WINDOW, decontaminate.ERROR_RATE)
+    for n in range(20):
+        held = rng.sample(range(12), 4)
+        text = f" {'z' * 600} ".join(say(40) + " " + (items[k][1] if k % 2 else items[k][1].replace("west1", "wes1")) for k in held)
+        data = np.frombuffer(decontaminate.normalise(text).encode(), np.uint8)
+        monkeypatch.setattr(decontaminate, "MOST_ENTRIES", 1 << 22)
+        found = index.matches(data)
+        assert {m[0] for m in found} >= set(held)
+        monkeypatch.setattr(decontaminate, "MOST_ENTRIES", 0)
+        assert index.matches(data) == found
