@@ -115,13 +115,23 @@ _FORM = pa.struct([("table_no", pa.int32()), ("caption", pa.string()), ("header"
 _TYPE = "array<struct<table_no:int,caption:string,header:array<string>,rows:array<array<string>>>>"
 
 
+#: Characters of texts whose tables a task holds before it hands them on.
+READ_AT_ONCE = 1 << 20
+
+
 def read_tables(docs: DataFrame, reader: Callable[[str], list[dict]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per table that a reader finds in a text; null texts have none."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [reader(x.as_py() or "") for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(_FORM))], names=[id_col, "tables"])
+            found, first, size = [], 0, 0
+            for i, x in enumerate(batch.column(1), 1):
+                text = x.as_py() or ""
+                found.append(reader(text))
+                size += len(text)
+                if size >= READ_AT_ONCE or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, i - first), pa.array(found, pa.list_(_FORM))], names=[id_col, "tables"])
+                    found, first, size = [], i, 0
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(read, f"{id_col} {kind}, tables {_TYPE}").select(id_col, F.inline("tables"))
